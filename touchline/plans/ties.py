@@ -1,0 +1,9 @@
+"""What decides between rows of one player and date.
+
+Each list covers all columns that the marts read from the winning row, so a tie
+cannot make a mart depend on the order in which rows arrive.
+"""
+
+TRANSFER_TIES = ("to_club_id", "to_club_name", "transfer_fee")
+APPEARANCE_TIES = ("game_id", "player_club_id")
+VALUATION_TIES = ("market_value_in_eur",)

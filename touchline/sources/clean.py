@@ -1,0 +1,96 @@
+"""Cleaning steps between the raw scan and the staging table."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+
+from touchline.constants import NULL_TOKENS
+from touchline.functions.dates import as_of_column
+from touchline.sources.tables import TableSpec
+
+
+def normalise_columns(df: DataFrame) -> DataFrame:
+    """Upper-case all column names."""
+    return df.toDF(*[name.upper() for name in df.columns])
+
+
+def select_by_position(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    """Keep columns by ordinal."""
+    return df.select(*[df.columns[i] for i in positions])
+
+
+def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+    """Turn texts that stand for a missing value into null, in all text columns."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    if not tokens or not texts:
+        return df
+    return df.withColumns({c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c in texts})
+
+
+def _strict(text: Column, value: Column, what: str) -> Column:
+    """``value``, or an error where there is a text but no value."""
+    message = F.concat(F.lit(f"not a {what}: "), text.cast("string"))
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
+def parse_dates(df: DataFrame, columns: Sequence[str], strict: bool = True) -> DataFrame:
+    """Parse text to timestamps without a time zone; nulls stay null.
+
+    A text that is no date raises, or becomes null if not ``strict``.
+    """
+    parsed = {}
+    for name in columns:
+        value = F.col(name).try_cast("timestamp_ntz")
+        parsed[name] = _strict(F.col(name), value, f"date in {name}") if strict else value
+    return df.withColumns(parsed)
+
+
+def parse_numbers(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Parse text to the given types; raises on text that is no such number.
+
+    Whole numbers may be written with a zero fraction ("12.0").
+    """
+    parsed = {}
+    for name, dtype in types.items():
+        value = F.col(name).try_cast(dtype)
+        if dtype == "bigint":
+            number = F.col(name).try_cast("decimal(38,6)")
+            value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(dtype)))
+        parsed[name] = _strict(F.col(name), value, f"{dtype} in {name}")
+    return df.withColumns(parsed)
+
+
+def drop_future(df: DataFrame, column: str, as_of: date | str | None = None) -> DataFrame:
+    """Keep rows up to midnight at the start of the reference day.
+
+    Apply it before dates lose their time: a row later on that day is dropped,
+    and so is a row without a date.
+    """
+    return df.filter(F.col(column) <= as_of_column(as_of))
+
+
+def narrow_timestamps(df: DataFrame) -> DataFrame:
+    """Cast every timestamp column, with or without time zone, to a date."""
+    stamps = [f.name for f in df.schema if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+    return df.withColumns({c: F.col(c).cast("date") for c in stamps}) if stamps else df
+
+
+def clean(
+    raw: DataFrame,
+    spec: TableSpec,
+    as_of: date | str | None = None,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+) -> DataFrame:
+    """Apply a table's recipe to its raw text columns."""
+    df = null_tokens_to_null(normalise_columns(raw), null_tokens)
+    df = parse_dates(df, spec.dates)
+    if spec.future_bound:
+        df = drop_future(df, spec.future_bound, as_of)
+    if spec.positions is not None:
+        df = select_by_position(df, spec.positions)
+    return narrow_timestamps(parse_numbers(df, dict(spec.types)))

@@ -1,0 +1 @@
+"""Empty on purpose: the workload is a batch full refresh without any stream."""
