@@ -7,16 +7,35 @@ recorded club, every fiftieth no birth date.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.together import run_together
+
 AS_OF = "2001-06-30"
 
+# The given tables, so that no job has to look into their files first.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _unless(condition: Column, value: Column) -> Column:
@@ -161,9 +180,23 @@ TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named domain tables, all of them by default."""
-    return {name: TABLES[name](spark, sf_dir) for name in names or TABLES}
+class Sources(Mapping[str, DataFrame]):
+    """The domain tables by name, each derived when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._derived: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._derived:
+            self._derived[name] = TABLES[name](self._spark, self._sf_dir)
+        return self._derived[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
 
 
 def _padded(df: DataFrame, width: int, kept_after: dict[int, str]) -> DataFrame:
@@ -178,7 +211,7 @@ def _padded(df: DataFrame, width: int, kept_after: dict[int, str]) -> DataFrame:
 
 def raw_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The domain tables as raw files have them: more columns, and future games."""
-    frames = sources(spark, sf_dir)
+    frames = dict(Sources(spark, sf_dir))
     frames["games"] = _padded(
         all_games(spark, sf_dir).withColumn(
             "date", F.date_format("date", "yyyy-MM-dd HH:mm:ss")
@@ -200,6 +233,9 @@ def raw_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Write the raw files as CSV with a header and return the folder."""
-    for name, df in raw_files(spark, sf_dir).items():
+
+    def write(name: str, df: DataFrame) -> None:
         df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+
+    run_together(spark, [partial(write, *item) for item in raw_files(spark, sf_dir).items()])
     return folder

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.adapter import AS_OF, all_games, given, sources, write_raw_files
+from registry.adapter import AS_OF, Sources, given, write_raw_files
 from touchline import functions as fn
 from touchline import operators as op
 from touchline import plans
 from touchline import sources as src
 from touchline.plans.current_club import reconcile_club, with_latest_records
 from touchline.plans.performance import appearances_in_context
-from touchline.plans.teams import SEASON_KEYS, SIDES, games_in_context
+from touchline.plans.teams import SEASON_KEYS, SIDES, club_seasons_by_side, games_by_side, with_club
 from touchline.plans.ties import TRANSFER_TIES
 from touchline.plans.valuation import with_current_league, with_latest_values
 from touchline.session import scratch_dir, tune
@@ -39,24 +39,24 @@ def query(function: Query) -> Query:
 
 @query
 def mart_player_current_club(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.player_current_club(sources(spark, sf_dir), AS_OF)
+    return plans.player_current_club(Sources(spark, sf_dir), AS_OF)
 
 
 @query
 def mart_player_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir)
+    tables = Sources(spark, sf_dir)
     return plans.player_performance(tables, plans.player_current_club(tables, AS_OF))
 
 
 @query
 def mart_player_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir)
+    tables = Sources(spark, sf_dir)
     return plans.player_valuation(tables, plans.player_current_club(tables, AS_OF), AS_OF)
 
 
 @query
 def mart_team_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.team_performance(sources(spark, sf_dir))
+    return plans.team_performance(Sources(spark, sf_dir))
 
 
 # --- composite operators -----------------------------------------------------
@@ -64,24 +64,24 @@ def mart_team_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transfers = sources(spark, sf_dir, "transfers")["transfers"]
+    transfers = Sources(spark, sf_dir)["transfers"]
     return op.latest_per_key(transfers, ["player_id"], "transfer_date", TRANSFER_TIES)
 
 
 @query
 def latest_per_key_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transfers = sources(spark, sf_dir, "transfers")["transfers"]
+    transfers = Sources(spark, sf_dir)["transfers"]
     return op.latest_per_key(transfers, ["player_id"], "transfer_date", TRANSFER_TIES, "last")
 
 
 @query
 def attach_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir, "players", "player_valuations", "transfers")
+    tables = Sources(spark, sf_dir)
     return with_latest_values(tables["players"].select("player_id"), tables)
 
 
 def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_latest_records(sources(spark, sf_dir, "players", "transfers", "appearances"))
+    return with_latest_records(Sources(spark, sf_dir))
 
 
 @query
@@ -114,7 +114,7 @@ def staleness_note(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def outside_dimension_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     reconciled = reconcile_club(_status(spark, sf_dir))
-    clubs = sources(spark, sf_dir, "clubs")["clubs"]
+    clubs = Sources(spark, sf_dir)["clubs"]
     looked_up = op.lookup(
         reconciled,
         clubs,
@@ -130,10 +130,9 @@ def outside_dimension_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def age_at_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir)
     age = fn.age_at("date_of_birth", "game_date").alias("player_age")
     return (
-        appearances_in_context(tables)
+        appearances_in_context(Sources(spark, sf_dir), {"date_of_birth": "date_of_birth"})
         .groupBy(age)
         .agg(F.count(F.lit(1)).alias("appearances"), F.sum("goals").alias("total_goals"))
     )
@@ -142,14 +141,14 @@ def age_at_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def age_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     age = fn.age_at("date_of_birth", fn.as_of_column(AS_OF))
-    players = sources(spark, sf_dir, "players")["players"]
+    players = Sources(spark, sf_dir)["players"]
     return players.select("player_id", "date_of_birth", age.alias("current_age"))
 
 
 @query
 def per_unit_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = (
-        appearances_in_context(sources(spark, sf_dir))
+        appearances_in_context(Sources(spark, sf_dir), {"position": "position"})
         .groupBy("position", "season")
         .agg(
             F.count_distinct("game_id").alias("games_played"),
@@ -172,13 +171,9 @@ def per_unit_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _games_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return games_in_context(sources(spark, sf_dir, "games", "clubs", "competitions"))
-
-
 @query
 def two_sided_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.results_per_side(_games_by_side(spark, sf_dir), [*SEASON_KEYS, "game_type"])
+    return club_seasons_by_side(Sources(spark, sf_dir))
 
 
 def _season_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +182,7 @@ def _season_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conditional_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    games = sources(spark, sf_dir, "games")["games"]
+    games = Sources(spark, sf_dir)["games"]
     rows = op.two_sided(games, SIDES, ["game_id", "season"])
     return rows.groupBy("club_id", "season", "game_type").agg(
         F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 1).otherwise(0)).alias("wins"),
@@ -224,7 +219,7 @@ def league_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir, "appearances", "clubs")
+    tables = Sources(spark, sf_dir)
     facts = tables["appearances"].select("player_id", "game_id", "player_club_id")
     return op.lookup(facts, tables["clubs"], "player_club_id", "club_id", {"club_name": "name"})
 
@@ -232,7 +227,7 @@ def left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_derived_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clubs by a key that a CASE derives: the home club, or on a loss the away club."""
-    tables = sources(spark, sf_dir, "games", "clubs")
+    tables = Sources(spark, sf_dir)
     winner = F.when(
         F.col("home_club_goals") < F.col("away_club_goals"), F.col("away_club_id")
     ).otherwise(F.col("home_club_id"))
@@ -243,7 +238,7 @@ def join_derived_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inner_fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir, "appearances", "games")
+    tables = Sources(spark, sf_dir)
     facts = tables["appearances"].select("player_id", "game_id", "goals", "minutes_played")
     return op.lookup(
         facts, tables["games"], "game_id", "game_id", {"day": "date", "season": "season"}, "inner"
@@ -252,7 +247,7 @@ def inner_fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inner_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir, "games", "clubs", "competitions")
+    tables = Sources(spark, sf_dir)
     facts = tables["games"].select("game_id", "home_club_id", "competition_id")
     named = op.lookup(
         facts, tables["clubs"], "home_club_id", "club_id", {"club_name": "name"}, "inner"
@@ -270,7 +265,7 @@ def inner_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def role_playing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Competitions in two roles: that of the game, and the home club's domestic one."""
-    tables = sources(spark, sf_dir, "games", "clubs", "competitions")
+    tables = Sources(spark, sf_dir)
     facts = tables["games"].select("game_id", "home_club_id", "competition_id")
     of_game = op.lookup(
         facts,
@@ -299,7 +294,7 @@ def role_playing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def two_hop_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir)
+    tables = Sources(spark, sf_dir)
     derived = reconcile_club(_status(spark, sf_dir)).select("player_id", "derived_current_club_id")
     return with_current_league(derived, tables, "derived_current_club_id")
 
@@ -310,7 +305,7 @@ def two_hop_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def group_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        appearances_in_context(sources(spark, sf_dir))
+        appearances_in_context(Sources(spark, sf_dir), {"position": "position"})
         .groupBy("position", "season", "playing_club_name")
         .agg(
             F.sum("goals").alias("total_goals"),
@@ -325,7 +320,7 @@ def group_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        appearances_in_context(sources(spark, sf_dir))
+        appearances_in_context(Sources(spark, sf_dir), {"position": "position"})
         .groupBy("position", "season")
         .agg(
             F.count_distinct("game_id").alias("games_played"),
@@ -347,7 +342,7 @@ def avg_of_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def project_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names resolve in either case."""
-    return sources(spark, sf_dir, "players")["players"].select(
+    return Sources(spark, sf_dir)["players"].select(
         F.col("PLAYER_ID").alias("player_id"),
         F.col("Name").alias("player_name"),
         F.col("current_club_id").alias("recorded_current_club_id"),
@@ -357,7 +352,7 @@ def project_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sources(spark, sf_dir, "transfers", "clubs")
+    tables = Sources(spark, sf_dir)
     transfers, clubs = tables["transfers"].alias("t"), tables["clubs"]
     joined = op.star_join(transfers, clubs, F.col("t.to_club_id") == clubs["club_id"])
     return joined.select("t.*", *clubs.columns, clubs["club_id"].isNull().alias("is_unknown"))
@@ -366,7 +361,7 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def case_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, away = F.col("home_club_goals"), F.col("away_club_goals")
-    return sources(spark, sf_dir, "games")["games"].select(
+    return Sources(spark, sf_dir)["games"].select(
         "game_id",
         F.when(home > away, "Home").when(away > home, "Away").otherwise("Neither").alias("winner"),
         (home != away).alias("decided"),
@@ -376,7 +371,7 @@ def case_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bool_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, away = F.col("home_club_goals"), F.col("away_club_goals")
-    return sources(spark, sf_dir, "games")["games"].select(
+    return Sources(spark, sf_dir)["games"].select(
         "game_id",
         fn.bool_flag(home > away).alias("home_win"),
         fn.bool_flag(home.isNull() | (home + away == 0)).alias("no_goals_known"),
@@ -386,15 +381,16 @@ def bool_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = fn.date_parts("date_of_birth")
-    return sources(spark, sf_dir, "players")["players"].select(
+    return Sources(spark, sf_dir)["players"].select(
         "player_id", *[part.alias(f"birth_{name}") for name, part in parts.items()]
     )
 
 
 @query
 def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Sources(spark, sf_dir)
     return (
-        _games_by_side(spark, sf_dir)
+        with_club(games_by_side(tables), tables)
         .groupBy("club_name", "season")
         .agg(F.count_distinct("game_id").alias("total_games"))
         .orderBy(F.asc_nulls_last("club_name"), F.desc_nulls_first("season"))
@@ -438,7 +434,7 @@ def narrow_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appearances through a CSV file and back."""
     folder = f"{scratch_dir(spark)}/appearances.csv"
-    appearances = sources(spark, sf_dir, "appearances")["appearances"]
+    appearances = Sources(spark, sf_dir)["appearances"]
     appearances.write.option("header", True).csv(folder)
     return src.clean(src.read_table_csv(spark, folder), src.STAGING["appearances"])
 

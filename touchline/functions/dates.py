@@ -46,8 +46,9 @@ def age_at(birth: ColumnOrName, at: ColumnOrName) -> Column:
 
 def last_recorded(*days: ColumnOrName) -> Column:
     """The latest of several dates, or the no-record date if all are null."""
-    floor = F.lit(NO_RECORD_DATE).cast("date")
-    return F.greatest(floor, *[F.coalesce(column(day), floor) for day in days])
+    no_record = F.lit(NO_RECORD_DATE).cast("date")
+    known = [F.coalesce(column(day), no_record) for day in days]
+    return F.greatest(*known) if len(known) > 1 else known[0]
 
 
 def staleness_flag(

@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 from touchline.functions import age_at, per_unit
 from touchline.operators import lookup
 
-GROUP_KEYS = (
-    "player_id", "player_name", "position", "sub_position", "player_age", "season",
-    "playing_club_name", "competition_name",
-)
+GROUP_KEYS = ("player_id", "player_age", "season", "playing_club_name", "competition_name")
 
 TOTALS = {
     "total_goals": "goals",
@@ -24,8 +21,10 @@ TOTALS = {
 }
 
 
-def appearances_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Appearances with their game, player, club and competition.
+def appearances_in_context(
+    sources: Mapping[str, DataFrame], player_columns: Mapping[str, str]
+) -> DataFrame:
+    """Appearances with game date, season, club, competition and ``player_columns``.
 
     Appearances without a known game, player or competition are dropped; an
     unknown club stays, without a name. The games come first, so that only ids
@@ -47,17 +46,7 @@ def appearances_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
         "inner",
     )
     of_players = lookup(
-        in_games,
-        sources["players"],
-        "player_id",
-        "player_id",
-        {
-            "player_name": "name",
-            "position": "position",
-            "sub_position": "sub_position",
-            "date_of_birth": "date_of_birth",
-        },
-        "inner",
+        in_games, sources["players"], "player_id", "player_id", player_columns, "inner"
     )
     for_clubs = lookup(
         of_players, sources["clubs"], "player_club_id", "club_id", {"playing_club_name": "name"}
@@ -75,10 +64,14 @@ def appearances_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
 def player_performance(sources: Mapping[str, DataFrame], current_club: DataFrame) -> DataFrame:
     """Totals and per-game rates; a birthday within a season splits it.
 
+    Clubs and competitions are grouped by name, so those that share one merge.
+    Of the players only the birth date takes part in the grouping. The texts that
+    describe a player (whose id is unique) join the few grouped rows.
+
     ``current_club`` is the current-club mart, best read back after it was written.
     """
     grouped = (
-        appearances_in_context(sources)
+        appearances_in_context(sources, {"date_of_birth": "date_of_birth"})
         .withColumn("player_age", age_at("date_of_birth", "game_date"))
         .groupBy(*GROUP_KEYS)
         .agg(
@@ -86,8 +79,16 @@ def player_performance(sources: Mapping[str, DataFrame], current_club: DataFrame
             *[F.sum(measure).alias(total) for total, measure in TOTALS.items()],
         )
     )
-    with_club = lookup(
+    described = lookup(
         grouped,
+        sources["players"],
+        "player_id",
+        "player_id",
+        {"player_name": "name", "position": "position", "sub_position": "sub_position"},
+        "inner",
+    )
+    with_club = lookup(
+        described,
         current_club,
         "player_id",
         "player_id",
@@ -95,7 +96,18 @@ def player_performance(sources: Mapping[str, DataFrame], current_club: DataFrame
     )
     contributions = F.col("total_goals") + F.col("total_assists")
     return with_club.select(
-        "*",
+        "player_id",
+        "player_name",
+        "position",
+        "sub_position",
+        "player_age",
+        "season",
+        "playing_club_name",
+        "competition_name",
+        "games_played",
+        *TOTALS,
+        "current_club",
+        "data_quality_note",
         per_unit("total_goals", "games_played").alias("goals_per_game"),
         per_unit("total_assists", "games_played").alias("assists_per_game"),
         per_unit("total_minutes", "games_played", 0).alias("avg_minutes_per_game"),

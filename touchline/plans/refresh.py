@@ -16,6 +16,7 @@ from touchline.plans.valuation import player_valuation
 from touchline.sources.load import LoadResult, load_all, load_table
 from touchline.sources.store import Store
 from touchline.sources.tables import STAGING, TableSpec
+from touchline.together import run_together
 
 
 @dataclass(frozen=True)
@@ -47,12 +48,19 @@ def run_refresh(
     loaded = load_all(spark, source, staging, as_of, specs, null_tokens)
     tables = {name: staging.read(spark, name) for name in specs}
 
-    built = [load_table(player_current_club(tables, as_of), "player_current_club", marts)]
-    current_club = marts.read(spark, "player_current_club")
-    for name, mart in (
-        ("player_performance", player_performance(tables, current_club)),
-        ("player_valuation", player_valuation(tables, current_club, as_of)),
-        ("team_performance", team_performance(tables)),
-    ):
-        built.append(load_table(mart, name, marts))
-    return RefreshResult(loaded, built)
+    first = run_together(
+        spark,
+        [
+            lambda: load_table(player_current_club(tables, as_of), "player_current_club", marts),
+            lambda: load_table(team_performance(tables), "team_performance", marts),
+        ],
+    )
+    club = marts.read(spark, "player_current_club")
+    then = run_together(
+        spark,
+        [
+            lambda: load_table(player_performance(tables, club), "player_performance", marts),
+            lambda: load_table(player_valuation(tables, club, as_of), "player_valuation", marts),
+        ],
+    )
+    return RefreshResult(loaded, [*first, *then])

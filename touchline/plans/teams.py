@@ -27,12 +27,8 @@ SIDES = {
 }
 
 
-def games_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per game and side with club, nationality and competition names.
-
-    Games of unknown clubs or competitions are dropped. A club's nationality is
-    the country of its domestic competition, if that is known.
-    """
+def games_by_side(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per game and side; games of unknown competitions are dropped."""
     games = sources["games"].select(
         F.col("game_id").alias("game_id"),
         F.col("season").alias("season"),
@@ -51,7 +47,14 @@ def games_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
         {"competition_name": "name"},
         "inner",
     )
-    rows = two_sided(named, SIDES, ["game_id", "season", "competition_name", "attendance"])
+    return two_sided(named, SIDES, ["game_id", "season", "competition_name", "attendance"])
+
+
+def with_club(rows: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Add club name and nationality; rows of unknown clubs are dropped.
+
+    A club's nationality is the country of its domestic competition, if known.
+    """
     clubs = lookup(
         sources["clubs"],
         sources["competitions"],
@@ -69,10 +72,19 @@ def games_in_context(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def club_seasons_by_side(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Results of each club, competition name and season, home and away apart.
+
+    The games are grouped by club id before the clubs are looked up: club ids are
+    unique, so the result is the same, and no game is shuffled by its club.
+    """
+    keys = ["club_id", "competition_name", "season", "game_type"]
+    return with_club(results_per_side(games_by_side(sources), keys), sources)
+
+
 def team_performance(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Results, goals, attendance and points of each club, newest season first."""
-    per_side = results_per_side(games_in_context(sources), [*SEASON_KEYS, "game_type"])
-    totals = season_totals(per_side, SEASON_KEYS)
+    totals = season_totals(club_seasons_by_side(sources), SEASON_KEYS)
     points = league_points("total_wins", "total_draws")
     return totals.select(
         *SEASON_KEYS,

@@ -20,6 +20,13 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings for a session of our own. Capturing the call site of every column
+# expression costs several round trips each while a plan is built.
+BUILD_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else built."""
@@ -30,10 +37,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or get) a session with the settings above and no web page."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**BUILD_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

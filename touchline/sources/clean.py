@@ -29,7 +29,8 @@ def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> D
     texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     if not tokens or not texts:
         return df
-    return df.withColumns({c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c in texts})
+    missing = [F.lit(token) for token in tokens]
+    return df.withColumns({c: F.when(~F.col(c).isin(missing), F.col(c)) for c in texts})
 
 
 def _strict(text: Column, value: Column, what: str) -> Column:

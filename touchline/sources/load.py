@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from touchline.sources.clean import clean
 from touchline.sources.csv import read_table_csv
 from touchline.sources.store import Store
 from touchline.sources.tables import STAGING, TableSpec
+from touchline.together import run_together
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ def load_table(df: DataFrame, name: str, store: Store, mode: str = "overwrite")
     """
     audit = Observation(f"load {name}")
     store.write(df.observe(audit, F.count(F.lit(1)).alias("rows")), name, mode)
-    files = store.read(df.sparkSession, name).inputFiles()
+    files = store.read(df.sparkSession, name, df.schema).inputFiles()
     return LoadResult(name, True, len(files), audit.get["rows"])
 
 
@@ -48,14 +50,15 @@ def load_all(
     specs: Mapping[str, TableSpec] = STAGING,
     null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> list[LoadResult]:
-    """Load every raw table by its own recipe.
+    """Load every raw table by its own recipe; the loads run side by side.
 
     ``source`` is a folder with ``<table>.csv`` files (or folders of CSV files),
     or a mapping from table to path.
     """
-    results = []
-    for name, spec in specs.items():
-        path = f"{source.rstrip('/')}/{name}.csv" if isinstance(source, str) else source[name]
+
+    def load(spec: TableSpec) -> LoadResult:
+        path = source[spec.name] if isinstance(source, Mapping) else f"{source}/{spec.name}.csv"
         raw = read_table_csv(spark, path, multi_line=spec.multi_line)
-        results.append(load_table(clean(raw, spec, as_of, null_tokens), name, store))
-    return results
+        return load_table(clean(raw, spec, as_of, null_tokens), spec.name, store)
+
+    return run_together(spark, [partial(load, spec) for spec in specs.values()])

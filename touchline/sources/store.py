@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql.types import StructType
 
 from touchline.operators.checks import check_distinct_names
 
@@ -29,8 +30,12 @@ class PathStore:
     def location(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.location(name))
+    def read(
+        self, spark: SparkSession, name: str, schema: StructType | None = None
+    ) -> DataFrame:
+        """The table; a known schema saves the look into its files."""
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(self.location(name))
 
     def write(
         self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
@@ -58,7 +63,10 @@ class CatalogStore:
     def location(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def read(
+        self, spark: SparkSession, name: str, schema: StructType | None = None
+    ) -> DataFrame:
+        """The table, with the schema that the catalog holds."""
         return spark.table(self.location(name))
 
     def write(
