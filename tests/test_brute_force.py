@@ -1,0 +1,257 @@
+"""The marts against plain Python on small random tables full of edge cases."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from datetime import date, timedelta
+from fractions import Fraction
+from random import Random
+
+import pytest
+from helpers import columns, tables
+
+from touchline import plans
+
+AS_OF = date(2001, 6, 30)
+STALE_BEFORE = date(2000, 12, 30)
+NEVER = date(1900, 1, 1)
+
+
+def random_tables(seed: int) -> dict[str, list[tuple]]:
+    """Few keys, few dates, many nulls, repeated rows, and one hot player, club and game."""
+    r = Random(seed)
+
+    def maybe(value, share=0.15):
+        return None if r.random() < share else value
+
+    def hot(limit):
+        return 1 if r.random() < 0.35 else r.randrange(limit)
+
+    def when(share=0.15):
+        return maybe(date(2000, 10, 1) + timedelta(r.randrange(12) * 30), share)
+
+    games = [
+        (hot(15), maybe(r.randrange(4)), maybe(2000 + r.randrange(3)), when(), maybe(hot(5)),
+         maybe(hot(5)), maybe(r.randrange(3)), maybe(r.randrange(3)), maybe(r.randrange(50)))
+        for _ in range(40)
+    ]
+    return {
+        "clubs": [(i, maybe(f"C{i % 3}"), maybe(r.randrange(4))) for i in range(4)],
+        "competitions": [(i, maybe(f"K{i % 2}"), f"Land{i}") for i in range(3)],
+        "players": [
+            (i, f"P{i}", maybe(r.randrange(5)), f"C{i % 5}", "A", "B",
+             maybe(date(1980, 1, 1) + timedelta(r.randrange(400))), None, float(i))
+            for i in range(12)
+        ],
+        "transfers": [
+            (hot(14), maybe(r.randrange(5)), maybe(f"T{r.randrange(3)}"), when(),
+             maybe(float(r.randrange(9))))
+            for _ in range(40)
+        ],
+        "appearances": [
+            (hot(14), hot(17), maybe(hot(5)), maybe(r.randrange(4)), when(),
+             maybe(r.randrange(3)), maybe(r.randrange(3)), r.randrange(90), r.randrange(2),
+             r.randrange(2))
+            for _ in range(60)
+        ],
+        "player_valuations": [
+            (hot(14), maybe(float(r.randrange(9))), when()) for _ in range(40)
+        ],
+        "games": games + games[:10],
+    }
+
+
+def as_dicts(data: dict[str, list[tuple]]) -> dict[str, list[dict]]:
+    return {name: [dict(zip(columns(name), row)) for row in rows] for name, rows in data.items()}
+
+
+def descending_nulls_first(day):
+    return date.max - (day or date.max)
+
+
+def ascending_nulls_last(value):
+    return (value is None, value if value is not None else 0)
+
+
+def newest(rows, player_id, date_column, ties):
+    mine = [row for row in rows if row["player_id"] == player_id]
+    if not mine:
+        return defaultdict(lambda: None)
+    return min(
+        mine,
+        key=lambda row: (
+            row[date_column] is not None,
+            descending_nulls_first(row[date_column]),
+            *[
+                (row[t] is None, row[t] if row[t] is not None else "") if t == "to_club_name"
+                else ascending_nulls_last(row[t])
+                for t in ties
+            ],
+        ),
+    )
+
+
+def only(rows, key, value):
+    return next((row for row in rows if value is not None and row[key] == value), None)
+
+
+def half_up(part, whole, digits=2):
+    if part is None or not whole:
+        return None
+    scale = 10**digits
+    return int(Fraction(part * scale, whole) + Fraction(1, 2)) / scale
+
+
+def expected_current_club(t):
+    for p in t["players"]:
+        tr = newest(t["transfers"], p["player_id"], "transfer_date",
+                    ["to_club_id", "to_club_name", "transfer_fee"])
+        ap = newest(t["appearances"], p["player_id"], "date", ["game_id", "player_club_id"])
+        moved, played = tr["transfer_date"], ap["date"]
+        label, club, name = "Original Record", p["current_club_id"], p["current_club_name"]
+        if moved and played and moved > played:
+            label, club, name = "Latest Transfer", tr["to_club_id"], tr["to_club_name"]
+        elif moved and played and played > moved:
+            known = only(t["clubs"], "club_id", ap["player_club_id"])
+            label, club, name = "Latest Appearance", ap["player_club_id"], known and known["name"]
+        last = max(moved or NEVER, played or NEVER)
+        found = only(t["clubs"], "club_id", club) or defaultdict(lambda: None)
+        recorded = p["current_club_id"]
+        outside = (
+            found["domestic_competition_id"] is None
+            and None not in (club, recorded)
+            and club != recorded
+        )
+        stale = last < STALE_BEFORE
+        note = (
+            f"Warning: No recent data available. Last record from {last.isoformat()}"
+            if stale
+            else "Data recent and reliable"
+        )
+        yield (
+            p["player_id"], p["name"], recorded, p["current_club_name"], tr["to_club_id"],
+            tr["to_club_name"], moved, ap["player_club_id"], played, club, name, label, last,
+            stale, found["club_id"], found["name"], found["domestic_competition_id"], note,
+            outside,
+        )
+
+
+def total(values):
+    known = [v for v in values if v is not None]
+    return sum(known) if known else None
+
+
+def expected_performance(t):
+    groups = defaultdict(list)
+    for a in t["appearances"]:
+        for g in t["games"]:
+            player = only(t["players"], "player_id", a["player_id"])
+            competition = only(t["competitions"], "competition_id", a["competition_id"])
+            if g["game_id"] != a["game_id"] or not player or not competition:
+                continue
+            born, played, age = player["date_of_birth"], g["date"], None
+            if born and played:
+                age = played.year - born.year
+                age -= (played.month, played.day) < (born.month, born.day)
+            club = only(t["clubs"], "club_id", a["player_club_id"])
+            key = (a["player_id"], age, g["season"], club and club["name"], competition["name"])
+            groups[key].append(a)
+    clubs = {row[0]: (row[10], row[17]) for row in expected_current_club(t)}
+    for (player_id, age, season, club, competition), rows in groups.items():
+        player = only(t["players"], "player_id", player_id)
+        games = len({a["game_id"] for a in rows})
+        sums = [
+            total(a[c] for a in rows)
+            for c in ("goals", "assists", "minutes_played", "yellow_cards", "red_cards")
+        ]
+        both = None if None in sums[:2] else sums[0] + sums[1]
+        yield (
+            player_id, player["name"], player["position"], player["sub_position"], age, season,
+            club, competition, games, *sums, *clubs[player_id],
+            half_up(sums[0], games), half_up(sums[1], games), half_up(sums[2], games, 0),
+            half_up(sums[3], games), half_up(sums[4], games), half_up(both, games),
+        )
+
+
+def expected_valuation(t):
+    current = {row[0]: row for row in expected_current_club(t)}
+    for p in t["players"]:
+        mart = current[p["player_id"]]
+        club = only(t["clubs"], "club_id", mart[9])
+        league = only(t["competitions"], "competition_id", club and club["domestic_competition_id"])
+        value = newest(t["player_valuations"], p["player_id"], "date", ["market_value_in_eur"])
+        tr = newest(t["transfers"], p["player_id"], "transfer_date",
+                    ["to_club_id", "to_club_name", "transfer_fee"])
+        born, age = p["date_of_birth"], None
+        if born:
+            age = AS_OF.year - born.year - ((AS_OF.month, AS_OF.day) < (born.month, born.day))
+        yield (
+            p["player_id"], p["name"], p["position"], p["sub_position"], age, mart[10],
+            league and league["name"], league and league["country_name"], mart[11], mart[13],
+            mart[17], p["contract_expiration_date"], value["market_value_in_eur"],
+            value["date"], p["highest_market_value_in_eur"], tr["transfer_fee"],
+            tr["transfer_date"],
+        )
+
+
+def expected_teams(t):
+    sides = defaultdict(list)
+    for g in t["games"]:
+        competition = only(t["competitions"], "competition_id", g["competition_id"])
+        for side, other in (("home", "away"), ("away", "home")):
+            club = only(t["clubs"], "club_id", g[f"{side}_club_id"])
+            if club and competition:
+                home = only(t["competitions"], "competition_id", club["domestic_competition_id"])
+                key = (club["club_id"], club["name"], competition["name"],
+                       home and home["country_name"], g["season"])
+                sides[key, side].append(
+                    (g["game_id"], g[f"{side}_club_goals"], g[f"{other}_club_goals"],
+                     g["attendance"])
+                )
+    for key in {key for key, _ in sides}:
+        halves = [sides[key, side] for side in ("home", "away") if sides.get((key, side))]
+        games = sum(len({row[0] for row in half}) for half in halves)
+        scores = [(row[1], row[2]) for half in halves for row in half if None not in row[1:3]]
+        wins = sum(ours > theirs for ours, theirs in scores)
+        draws = sum(ours == theirs for ours, theirs in scores)
+        losses = sum(ours < theirs for ours, theirs in scores)
+        scored = total(row[1] for half in halves for row in half)
+        conceded = total(row[2] for half in halves for row in half)
+        means = [
+            sum(known) / len(known)
+            for known in ([row[3] for row in half if row[3] is not None] for half in halves)
+            if known
+        ]
+        yield (
+            *key, games, wins, draws, losses, scored, conceded,
+            None if None in (scored, conceded) else scored - conceded,
+            (sum(means) / len(means)) if means else None,
+            half_up(wins * 100, games), half_up(draws * 100, games), half_up(losses * 100, games),
+            half_up(scored, games), half_up(conceded, games), 3 * wins + draws,
+            half_up(3 * wins + draws, games),
+        )
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=lambda row: [(v is None, str(v)) for v in row])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_marts_equal_plain_python(spark, seed):
+    data = random_tables(seed)
+    frames, rows = tables(spark, **data), as_dicts(data)
+    current = plans.player_current_club(frames, AS_OF)
+    assert ordered(current.collect()) == ordered(expected_current_club(rows))
+    performance = plans.player_performance(frames, current)
+    assert ordered(performance.collect()) == ordered(expected_performance(rows))
+    valuation = plans.player_valuation(frames, current, AS_OF)
+    assert ordered(valuation.collect()) == ordered(expected_valuation(rows))
+
+    at = plans.team_performance(frames).columns.index("avg_attendance")
+    ours = ordered(plans.team_performance(frames).collect())
+    theirs = ordered(expected_teams(rows))
+    # Attendance is rounded to a whole number, whose ties the means decide.
+    assert [r[:at] + r[at + 1 :] for r in ours] == [r[:at] + r[at + 1 :] for r in theirs]
+    for mine, other in zip(ours, theirs):
+        assert (mine[at] is None) == (other[at] is None)
+        assert mine[at] is None or abs(mine[at] - other[at]) <= 0.5 + 1e-9

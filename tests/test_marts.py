@@ -1,0 +1,289 @@
+from __future__ import annotations
+
+import pytest
+from helpers import appearance, day, dicts, game, player, tables, transfer
+
+from touchline import plans
+
+AS_OF = "2001-06-30"
+
+CLUBS = [(1, "One", 1), (2, "Two", 1), (3, "Three", None), (4, "Four", 99)]
+COMPETITIONS = [(1, "League", "Europe"), (2, "Cup", "Europe"), (3, "Cup", "Asia")]
+
+
+def current_club(spark, nulls="first", **rows):
+    rows.setdefault("clubs", CLUBS)
+    return plans.player_current_club(tables(spark, **rows), AS_OF, nulls)
+
+
+def one(df):
+    (row,) = dicts(df)
+    return row
+
+
+def test_equal_dates_keep_the_record(spark):
+    row = one(
+        current_club(
+            spark,
+            players=[player(1)],
+            transfers=[transfer(1, 2, "Two", "2001-05-01")],
+            appearances=[appearance(1, 1, 3, "2001-05-01")],
+        )
+    )
+    assert row["club_data_source"] == "Original Record"
+    assert (row["derived_current_club_id"], row["derived_current_club_name"]) == (1, "One")
+
+
+def test_transfer_without_appearance_keeps_the_record(spark):
+    row = one(
+        current_club(
+            spark, players=[player(1)], transfers=[transfer(1, 2, "Two", "2001-05-01")]
+        )
+    )
+    assert row["club_data_source"] == "Original Record"
+    assert row["last_recorded_date"] == day("2001-05-01")
+    assert row["potentially_outdated"] is False
+
+
+def test_no_record_at_all_is_stale(spark):
+    row = one(current_club(spark, players=[player(1)]))
+    assert row["last_recorded_date"] == day("1900-01-01")
+    assert row["potentially_outdated"] is True
+    assert row["data_quality_note"].endswith("from 1900-01-01")
+
+
+def test_future_transfer_wins_and_is_fresh(spark):
+    row = one(
+        current_club(
+            spark,
+            players=[player(1)],
+            transfers=[transfer(1, 2, "Second", "2009-01-01")],
+            appearances=[appearance(1, 1, 1, "2001-05-01")],
+        )
+    )
+    assert row["club_data_source"] == "Latest Transfer"
+    assert row["derived_current_club_name"] == "Second"  # as the transfer names it
+    assert row["name"] == "Two"  # as the club table names it
+    assert row["potentially_outdated"] is False
+
+
+def test_appearance_at_an_unknown_club_has_an_id_but_no_name(spark):
+    row = one(
+        current_club(
+            spark,
+            players=[player(1)],
+            transfers=[transfer(1, 2, "Two", "2001-01-01")],
+            appearances=[appearance(1, 1, 77, "2001-05-01")],
+        )
+    )
+    assert row["club_data_source"] == "Latest Appearance"
+    assert (row["derived_current_club_id"], row["derived_current_club_name"]) == (77, None)
+    assert row["possible_non_european_transfer"] is True
+
+
+@pytest.mark.parametrize(("recorded", "outside"), [(1, True), (3, False), (None, False)])
+def test_known_club_without_domestic_competition(spark, recorded, outside):
+    row = one(
+        current_club(
+            spark,
+            players=[player(1, recorded)],
+            transfers=[transfer(1, 2, "Two", "2001-01-01")],
+            appearances=[appearance(1, 1, 3, "2001-05-01")],
+        )
+    )
+    assert row["derived_current_club_name"] == "Three"
+    assert row["possible_non_european_transfer"] is outside
+
+
+def test_null_transfer_date_wins_unless_nulls_are_last(spark):
+    rows = {
+        "players": [player(1)],
+        "transfers": [transfer(1, 2, "Two", None), transfer(1, 3, "Three", "2001-06-01")],
+        "appearances": [appearance(1, 1, 1, "2001-05-01")],
+    }
+    assert one(current_club(spark, **rows))["club_data_source"] == "Original Record"
+    assert one(current_club(spark, "last", **rows))["club_data_source"] == "Latest Transfer"
+
+
+def test_columns_of_the_current_club_mart(spark):
+    assert current_club(spark, players=[player(1)]).columns == [
+        "player_id", "player_name", "recorded_current_club_id", "recorded_current_club_name",
+        "latest_transfer_club_id", "latest_transfer_club_name", "latest_transfer_date",
+        "latest_appearance_club_id", "latest_appearance_date", "derived_current_club_id",
+        "derived_current_club_name", "club_data_source", "last_recorded_date",
+        "potentially_outdated", "club_id", "name", "domestic_competition_id",
+        "data_quality_note", "possible_non_european_transfer",
+    ]
+
+
+def performance(spark, **rows):
+    rows.setdefault("clubs", CLUBS)
+    rows.setdefault("competitions", COMPETITIONS)
+    data = tables(spark, **rows)
+    return plans.player_performance(data, plans.player_current_club(data, AS_OF))
+
+
+def test_birthday_within_a_season_splits_it(spark):
+    rows = dicts(
+        performance(
+            spark,
+            players=[player(1, born="1980-10-01")],
+            games=[
+                game(1, 1, 2, 1, 0, when="2020-09-30"),
+                game(2, 2, 1, 1, 0, when="2020-10-01"),
+            ],
+            appearances=[
+                appearance(1, 1, 1, "2020-09-30", goals=1),
+                appearance(1, 2, 1, "2020-10-01", goals=2),
+            ],
+        )
+    )
+    assert {(r["player_age"], r["games_played"], r["total_goals"]) for r in rows} == {
+        (39, 1, 1), (40, 1, 2),
+    }
+
+
+def test_competitions_that_share_a_name_merge_and_games_count_once(spark):
+    (row,) = dicts(
+        performance(
+            spark,
+            players=[player(1)],
+            games=[game(1, 1, 2, 1, 0), game(2, 1, 2, 1, 0)],
+            appearances=[
+                appearance(1, 1, 1, "2020-09-01", goals=1, competition=2),
+                appearance(1, 1, 1, "2020-09-01", goals=1, competition=3),
+                appearance(1, 2, 1, "2020-09-01", goals=1, competition=3),
+            ],
+        )
+    )
+    assert (row["competition_name"], row["games_played"], row["total_goals"]) == ("Cup", 2, 3)
+    assert row["goals_per_game"] == 1.5
+    assert row["player_age"] is None
+
+
+def test_inner_and_left_lookups_of_the_performance_mart(spark):
+    rows = dicts(
+        performance(
+            spark,
+            players=[player(1)],
+            games=[game(1, 1, 2, 1, 0)],
+            appearances=[
+                appearance(1, 1, 77, "2020-09-01", goals=None, assists=2),
+                appearance(1, 5, 1, "2020-09-01"),  # unknown game
+                appearance(9, 1, 1, "2020-09-01"),  # unknown player
+                appearance(1, 1, 1, "2020-09-01", competition=50),  # unknown competition
+            ],
+        )
+    )
+    (row,) = rows
+    assert row["playing_club_name"] is None
+    assert (row["total_goals"], row["total_assists"]) == (None, 2)
+    assert (row["goals_per_game"], row["assists_per_game"]) == (None, 2.0)
+    assert row["goal_contributions_per_game"] is None
+
+
+def test_columns_of_the_performance_mart(spark):
+    assert performance(spark).columns == [
+        "player_id", "player_name", "position", "sub_position", "player_age", "season",
+        "playing_club_name", "competition_name", "games_played", "total_goals",
+        "total_assists", "total_minutes", "total_yellow_cards", "total_red_cards",
+        "current_club", "data_quality_note", "goals_per_game", "assists_per_game",
+        "avg_minutes_per_game", "yellow_cards_per_game", "red_cards_per_game",
+        "goal_contributions_per_game",
+    ]
+
+
+def test_valuation_profile(spark):
+    data = tables(
+        spark,
+        players=[player(1, born="1980-07-01"), player(2, club=3, club_name="Three")],
+        clubs=CLUBS,
+        competitions=COMPETITIONS,
+        player_valuations=[(1, 7.0, day("2001-01-01")), (1, 9.0, day("2000-01-01"))],
+        transfers=[transfer(1, 2, "Two", "2001-05-01", 3.5)],
+        appearances=[appearance(1, 1, 1, "2001-01-01")],
+    )
+    rows = dicts(plans.player_valuation(data, plans.player_current_club(data, AS_OF), AS_OF))
+    first, second = sorted(rows, key=lambda r: r["player_id"])
+    assert (first["current_age"], first["current_club"]) == (20, "Two")
+    assert (first["current_league"], first["league_country"]) == ("League", "Europe")
+    assert (first["current_market_value"], first["last_valuation_date"]) == (7.0, day("2001-01-01"))
+    assert (first["last_transfer_fee"], first["last_transfer_date"]) == (3.5, day("2001-05-01"))
+    assert (second["current_age"], second["current_club"]) == (None, "Three")
+    assert (second["current_league"], second["current_market_value"]) == (None, None)
+    assert list(first) == [
+        "player_id", "player_name", "position", "sub_position", "current_age", "current_club",
+        "current_league", "league_country", "club_data_source", "potentially_outdated",
+        "data_quality_note", "contract_expiration_date", "current_market_value",
+        "last_valuation_date", "historical_highest_value", "last_transfer_fee",
+        "last_transfer_date",
+    ]
+
+
+def teams(spark, games):
+    data = tables(spark, games=games, clubs=CLUBS, competitions=COMPETITIONS)
+    return plans.team_performance(data)
+
+
+def test_team_season(spark):
+    rows = {
+        r["club_name"]: r
+        for r in dicts(
+            teams(
+                spark,
+                [
+                    game(1, 1, 2, 2, 0, 10),
+                    game(2, 1, 3, 1, 1, 20),
+                    game(3, 2, 1, None, 1, 40),
+                    game(4, 1, 77, 5, 0, 30),  # unknown visitors
+                ],
+            )
+        )
+    }
+    assert set(rows) == {"One", "Two", "Three"}
+    first = rows["One"]
+    assert (first["total_games"], first["total_wins"], first["total_draws"]) == (4, 2, 1)
+    assert first["total_losses"] == 0
+    assert (first["win_percentage"], first["draw_percentage"]) == (50.0, 25.0)
+    assert (first["total_goals_for"], first["total_goals_against"]) == (9, 1)
+    assert first["goal_difference"] == 8
+    assert first["avg_attendance"] == 30.0  # mean of home 20 and away 40
+    assert (first["total_points"], first["points_per_game"]) == (7, 1.75)
+    assert first["club_nationality"] == "Europe"
+    assert rows["Three"]["club_nationality"] is None
+
+
+def test_competitions_that_share_a_name_merge_for_teams(spark):
+    rows = dicts(
+        teams(spark, [game(1, 1, 2, 1, 0, competition=2), game(1, 1, 2, 1, 0, competition=3)])
+    )
+    assert {(r["club_name"], r["total_games"], r["total_wins"]) for r in rows} == {
+        ("One", 1, 2), ("Two", 1, 0),
+    }
+
+
+def test_teams_are_sorted_by_name_and_newest_season(spark):
+    data = tables(
+        spark,
+        games=[
+            game(1, 1, 2, 1, 0, season=2019),
+            game(2, 1, 5, 1, 0, season=2020),
+            game(3, 5, 1, 1, 0, season=None),
+        ],
+        clubs=[*CLUBS, (5, None, 1)],
+        competitions=COMPETITIONS,
+    )
+    rows = plans.team_performance(data).select("club_name", "season").collect()
+    assert [tuple(r) for r in rows] == [
+        ("One", None), ("One", 2020), ("One", 2019), ("Two", 2019), (None, None), (None, 2020),
+    ]
+
+
+def test_columns_of_the_team_mart(spark):
+    assert teams(spark, []).columns == [
+        "club_id", "club_name", "competition_name", "club_nationality", "season",
+        "total_games", "total_wins", "total_draws", "total_losses", "total_goals_for",
+        "total_goals_against", "goal_difference", "avg_attendance", "win_percentage",
+        "draw_percentage", "loss_percentage", "avg_goals_scored_per_game",
+        "avg_goals_conceded_per_game", "total_points", "points_per_game",
+    ]

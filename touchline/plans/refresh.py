@@ -39,13 +39,14 @@ def run_refresh(
     as_of: date | str | None = None,
     specs: Mapping[str, TableSpec] = STAGING,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    check_keys: bool = False,
 ) -> RefreshResult:
     """Load all tables, then write the four marts in order of dependency.
 
     Each table is replaced, so a run can be repeated after any failure. The
     current-club mart is written once and read back by the two that build on it.
     """
-    loaded = load_all(spark, source, staging, as_of, specs, null_tokens)
+    loaded = load_all(spark, source, staging, as_of, specs, null_tokens, check_keys)
     tables = {name: staging.read(spark, name) for name in specs}
 
     first = run_together(

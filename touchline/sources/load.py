@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.constants import NULL_TOKENS
+from touchline.operators.checks import assert_unique
 from touchline.sources.clean import clean
 from touchline.sources.csv import read_table_csv
 from touchline.sources.store import Store
@@ -49,16 +50,21 @@ def load_all(
     as_of: date | str | None = None,
     specs: Mapping[str, TableSpec] = STAGING,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    check_keys: bool = False,
 ) -> list[LoadResult]:
     """Load every raw table by its own recipe; the loads run side by side.
 
     ``source`` is a folder with ``<table>.csv`` files (or folders of CSV files),
-    or a mapping from table to path.
+    or a mapping from table to path. ``check_keys`` raises on a dimension whose
+    key repeats, which would multiply the rows of the marts.
     """
 
     def load(spec: TableSpec) -> LoadResult:
         path = source[spec.name] if isinstance(source, Mapping) else f"{source}/{spec.name}.csv"
         raw = read_table_csv(spark, path, multi_line=spec.multi_line)
-        return load_table(clean(raw, spec, as_of, null_tokens), spec.name, store)
+        result = load_table(clean(raw, spec, as_of, null_tokens), spec.name, store)
+        if check_keys and spec.key:
+            assert_unique(store.read(spark, spec.name), spec.key)
+        return result
 
     return run_together(spark, [partial(load, spec) for spec in specs.values()])

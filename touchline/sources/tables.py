@@ -16,7 +16,8 @@ class TableSpec:
     ``positions`` are the ordinals to keep, all of them if None. Rows whose
     ``future_bound`` lies after the reference day are dropped. ``multi_line``
     allows quoted line breaks, at the price of one task per file; without it a
-    line break inside a value is an error, never a wrong row.
+    line break inside a value is an error, never a wrong row. ``key`` names the
+    columns that identify a row of a dimension.
     """
 
     name: str
@@ -25,6 +26,7 @@ class TableSpec:
     positions: Sequence[int] | None = None
     future_bound: str | None = None
     multi_line: bool = False
+    key: Sequence[str] = ()
 
 
 def _typed(dtype: str, *columns: str) -> dict[str, str]:
@@ -48,9 +50,15 @@ STAGING = {
             types=_typed("bigint", "CLUB_ID"),
             positions=CLUBS_POSITIONS,
             multi_line=True,
+            key=("CLUB_ID",),
         ),
         TableSpec("club_games"),
-        TableSpec("competitions", positions=COMPETITIONS_POSITIONS, multi_line=True),
+        TableSpec(
+            "competitions",
+            positions=COMPETITIONS_POSITIONS,
+            multi_line=True,
+            key=("COMPETITION_ID",),
+        ),
         TableSpec(
             "games",
             types=_typed(
@@ -69,6 +77,7 @@ STAGING = {
             },
             dates=("DATE_OF_BIRTH", "CONTRACT_EXPIRATION_DATE"),
             multi_line=True,
+            key=("PLAYER_ID",),
         ),
         TableSpec(
             "player_valuations",
