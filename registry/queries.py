@@ -472,6 +472,16 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, summaries)
 
 
+@query
+def empty_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers emptied and appended to, twice over."""
+    store = src.PathStore(scratch_dir(spark))
+    for _ in range(2):
+        store.empty(spark, "transfers")
+        src.load_table(Sources(spark, sf_dir)["transfers"], "transfers", store, mode="append")
+    return store.read(spark, "transfers")
+
+
 @query
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the audit of each load reports."""

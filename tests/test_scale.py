@@ -135,6 +135,16 @@ def test_hot_keys_are_split_in_shuffled_joins(spark, conf, hot):
     assert "skew=true" in plan_of(shuffled)
 
 
+def test_a_hot_game_is_split_though_the_grouping_could_use_its_partitions(spark, conf, hot):
+    expected = rows_of(plans.player_performance(hot, plans.player_current_club(hot, "2001-06-30")))
+    conf(**{**SHUFFLED_AND_SKEWED, "spark__sql__autoBroadcastJoinThreshold": "30000"})
+    mixed = plans.player_performance(hot, plans.player_current_club(hot, "2001-06-30"))
+    assert rows_of(mixed) == expected
+    final = plan_of(mixed).split("Initial Plan")[0]
+    assert "BroadcastHashJoin [competition_id" in final
+    assert re.search(r"SortMergeJoin\(skew=true\) \[game_id", final)
+
+
 def test_a_hot_club_does_not_reach_the_join_with_its_games(spark, conf, hot):
     expected = rows_of(plans.team_performance(hot))
     conf(**SHUFFLED_AND_SKEWED)

@@ -25,10 +25,11 @@ class RefreshResult:
     marts: list[LoadResult]
 
 
-def write_mart(df: DataFrame, name: str, store: Store) -> DataFrame:
-    """Create or replace a mart table and return it as read back."""
-    store.write(df, name)
-    return store.read(df.sparkSession, name)
+def write_mart(
+    df: DataFrame, name: str, store: Store, partition_by: Sequence[str] = ()
+) -> LoadResult:
+    """Create or replace a mart table from a query; column names must differ."""
+    return load_table(df, name, store, "overwrite", partition_by)
 
 
 def run_refresh(
@@ -52,16 +53,16 @@ def run_refresh(
     first = run_together(
         spark,
         [
-            lambda: load_table(player_current_club(tables, as_of), "player_current_club", marts),
-            lambda: load_table(team_performance(tables), "team_performance", marts),
+            lambda: write_mart(player_current_club(tables, as_of), "player_current_club", marts),
+            lambda: write_mart(team_performance(tables), "team_performance", marts),
         ],
     )
     club = marts.read(spark, "player_current_club")
     then = run_together(
         spark,
         [
-            lambda: load_table(player_performance(tables, club), "player_performance", marts),
-            lambda: load_table(player_valuation(tables, club, as_of), "player_valuation", marts),
+            lambda: write_mart(player_performance(tables, club), "player_performance", marts),
+            lambda: write_mart(player_valuation(tables, club, as_of), "player_valuation", marts),
         ],
     )
     return RefreshResult(loaded, [*first, *then])

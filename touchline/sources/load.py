@@ -32,13 +32,24 @@ class LoadResult:
         return f"{self.table}: success {self.success}, chunks {self.chunks}, rows {self.rows}"
 
 
-def load_table(df: DataFrame, name: str, store: Store, mode: str = "overwrite") -> LoadResult:
+def load_table(
+    df: DataFrame,
+    name: str,
+    store: Store,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+) -> LoadResult:
     """Write a table and count its rows in the same pass.
 
     The default replaces the table, so that a repeated load adds no rows twice.
+    With ``partition_by``, each value goes to few files, a hot one to several.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    # Observed last, in the stage that writes: a task that is repeated after the
+    # loss of an executor is counted once there.
     audit = Observation(f"load {name}")
-    store.write(df.observe(audit, F.count(F.lit(1)).alias("rows")), name, mode)
+    store.write(df.observe(audit, F.count(F.lit(1)).alias("rows")), name, mode, partition_by)
     files = store.read(df.sparkSession, name, df.schema).inputFiles()
     return LoadResult(name, True, len(files), audit.get["rows"])
 

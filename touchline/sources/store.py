@@ -14,9 +14,6 @@ from touchline.operators.checks import check_distinct_names
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]) -> DataFrameWriter:
     check_distinct_names(df.columns)
-    if partition_by:
-        # Gathers each partition value into few files, and splits a hot value.
-        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
