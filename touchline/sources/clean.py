@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -33,10 +33,13 @@ def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> D
     return df.withColumns({c: F.when(~F.col(c).isin(missing), F.col(c)) for c in texts})
 
 
-def _strict(text: Column, value: Column, what: str) -> Column:
-    """``value``, or an error where there is a text but no value."""
-    message = F.concat(F.lit(f"not a {what}: "), text.cast("string"))
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+def _or_raise(text: Column, what: str, *values: Column) -> Column:
+    """The first value that is not null, or an error if there is a text but no value.
+
+    Later values are computed only for texts that the earlier ones cannot read.
+    """
+    error = F.raise_error(F.concat(F.lit(f"not a {what}: "), text))
+    return F.coalesce(*values, F.when(text.isNotNull(), error))
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str], strict: bool = True) -> DataFrame:
@@ -47,22 +50,23 @@ def parse_dates(df: DataFrame, columns: Sequence[str], strict: bool = True) -> D
     parsed = {}
     for name in columns:
         value = F.col(name).try_cast("timestamp_ntz")
-        parsed[name] = _strict(F.col(name), value, f"date in {name}") if strict else value
+        parsed[name] = _or_raise(F.col(name), f"date in {name}", value) if strict else value
     return df.withColumns(parsed)
 
 
-def parse_numbers(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def parse_numbers(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Parse text to the given types; raises on text that is no such number.
 
     Whole numbers may be written with a zero fraction ("12.0").
     """
     parsed = {}
     for name, dtype in types.items():
-        value = F.col(name).try_cast(dtype)
+        text = F.col(name)
+        values = [text.try_cast(dtype)]
         if dtype == "bigint":
-            number = F.col(name).try_cast("decimal(38,6)")
-            value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(dtype)))
-        parsed[name] = _strict(F.col(name), value, f"{dtype} in {name}")
+            number = text.try_cast("decimal(38,6)")
+            values.append(F.when(number == F.floor(number), number.try_cast(dtype)))
+        parsed[name] = _or_raise(text, f"{dtype} in {name}", *values)
     return df.withColumns(parsed)
 
 
@@ -94,4 +98,4 @@ def clean(
         df = drop_future(df, spec.future_bound, as_of)
     if spec.positions is not None:
         df = select_by_position(df, spec.positions)
-    return narrow_timestamps(parse_numbers(df, dict(spec.types)))
+    return narrow_timestamps(parse_numbers(df, spec.types))
