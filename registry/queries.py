@@ -16,7 +16,7 @@ from touchline import sources as src
 from touchline.plans.current_club import reconcile_club, with_latest_records
 from touchline.plans.performance import appearances_in_context
 from touchline.plans.teams import SEASON_KEYS, SIDES, club_seasons_by_side, games_by_side, with_club
-from touchline.plans.ties import TRANSFER_TIES
+from touchline.plans.newest import TRANSFER_TIES
 from touchline.plans.valuation import with_current_league, with_latest_values
 from touchline.session import scratch_dir, tune
 

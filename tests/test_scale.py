@@ -162,3 +162,21 @@ def test_a_hot_player_in_every_latest_record(spark, conf, hot):
     best = hot["transfers"].filter("player_id = 5").agg({"transfer_date": "max"}).first()[0]
     assert hottest.transfer_date == best
     assert newest.count() == 997
+
+
+def test_a_refresh_ranks_the_transfers_once(spark, hot, tmp_path):
+    from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
+    from touchline.sources import PathStore, load_table
+
+    store = PathStore(str(tmp_path))
+    alone = plans.player_current_club(hot, "2001-06-30")
+    ranked_alone = plan_of(alone).count("Window [row_number()")
+    load_table(latest_transfers(hot), LATEST_TRANSFERS, store)
+    shared = {**hot, LATEST_TRANSFERS: store.read(spark, LATEST_TRANSFERS)}
+    current = plans.player_current_club(shared, "2001-06-30")
+    assert ranked_alone == 2
+    assert plan_of(current).count("Window [row_number()") == 1
+    assert rows_of(current) == rows_of(alone)
+    valuation = plans.player_valuation(shared, current, "2001-06-30")
+    expected = plans.player_valuation(hot, alone, "2001-06-30")
+    assert rows_of(valuation) == rows_of(expected)

@@ -15,8 +15,8 @@ from touchline.functions import (
     staleness_flag,
     staleness_note,
 )
-from touchline.operators import Dated, attach_latest, reconcile_latest, star_join
-from touchline.plans.ties import APPEARANCE_TIES, TRANSFER_TIES
+from touchline.operators import Dated, attach_latest, lookup, reconcile_latest, star_join
+from touchline.plans.newest import APPEARANCE_TIES, latest_transfers
 
 
 def with_latest_records(sources: Mapping[str, DataFrame], nulls: str = "first") -> DataFrame:
@@ -27,18 +27,16 @@ def with_latest_records(sources: Mapping[str, DataFrame], nulls: str = "first")
         F.col("current_club_id").alias("recorded_current_club_id"),
         F.col("current_club_name").alias("recorded_current_club_name"),
     )
-    with_transfer = attach_latest(
+    with_transfer = lookup(
         players,
-        sources["transfers"],
+        latest_transfers(sources, nulls),
+        "player_id",
         "player_id",
-        "transfer_date",
         {
             "latest_transfer_club_id": "to_club_id",
             "latest_transfer_club_name": "to_club_name",
             "latest_transfer_date": "transfer_date",
         },
-        TRANSFER_TIES,
-        nulls,
     )
     return attach_latest(
         with_transfer,

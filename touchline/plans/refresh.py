@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.constants import NULL_TOKENS
 from touchline.plans.current_club import player_current_club
+from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
 from touchline.plans.performance import player_performance
 from touchline.plans.teams import team_performance
 from touchline.plans.valuation import player_valuation
@@ -44,25 +45,28 @@ def run_refresh(
 ) -> RefreshResult:
     """Load all tables, then write the four marts in order of dependency.
 
-    Each table is replaced, so a run can be repeated after any failure. The
-    current-club mart is written once and read back by the two that build on it.
+    Each table is replaced, so a run can be repeated after any failure. What two
+    marts read, the newest transfers and the current clubs, is written once and
+    read back.
     """
     loaded = load_all(spark, source, staging, as_of, specs, null_tokens, check_keys)
     tables = {name: staging.read(spark, name) for name in specs}
 
-    first = run_together(
+    ranked, teams = run_together(
         spark,
         [
-            lambda: write_mart(player_current_club(tables, as_of), "player_current_club", marts),
+            lambda: load_table(latest_transfers(tables), LATEST_TRANSFERS, staging),
             lambda: write_mart(team_performance(tables), "team_performance", marts),
         ],
     )
+    tables[LATEST_TRANSFERS] = staging.read(spark, LATEST_TRANSFERS)
+    current = write_mart(player_current_club(tables, as_of), "player_current_club", marts)
     club = marts.read(spark, "player_current_club")
-    then = run_together(
+    players = run_together(
         spark,
         [
             lambda: write_mart(player_performance(tables, club), "player_performance", marts),
             lambda: write_mart(player_valuation(tables, club, as_of), "player_valuation", marts),
         ],
     )
-    return RefreshResult(loaded, [*first, *then])
+    return RefreshResult([*loaded, ranked], [current, teams, *players])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions import age_at, as_of_column
 from touchline.operators import attach_latest, lookup
-from touchline.plans.ties import TRANSFER_TIES, VALUATION_TIES
+from touchline.plans.newest import VALUATION_TIES, latest_transfers
 
 
 def with_latest_values(
@@ -26,14 +26,12 @@ def with_latest_values(
         VALUATION_TIES,
         nulls,
     )
-    return attach_latest(
+    return lookup(
         valued,
-        sources["transfers"],
+        latest_transfers(sources, nulls),
+        "player_id",
         "player_id",
-        "transfer_date",
         {"last_transfer_fee": "transfer_fee", "last_transfer_date": "transfer_date"},
-        TRANSFER_TIES,
-        nulls,
     )
 
 

@@ -1,6 +1,6 @@
 """Reading raw CSV files, cleaning them and writing tables."""
 
-from touchline.sources.clean import (
+from touchline.sources.cleaning import (
     clean,
     drop_future,
     narrow_timestamps,

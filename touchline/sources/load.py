@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from touchline.constants import NULL_TOKENS
 from touchline.operators.checks import assert_unique
-from touchline.sources.clean import clean
+from touchline.sources.cleaning import clean
 from touchline.sources.csv import read_table_csv
 from touchline.sources.store import Store
 from touchline.sources.tables import STAGING, TableSpec
