@@ -66,14 +66,27 @@ def clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Competitions are broadcast up to this many rows of one id and two short names.
+BROADCAST_ROWS = 10_000
+
+
 def competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations with their regions, broadcast if they are few.
+
+    Spark takes a join to be as large as the product of its sides. At run time it
+    may therefore broadcast the games to these few rows and join them all in one
+    task. The rows are counted, up to the bound, before the hint is given; beyond
+    it Spark decides.
+    """
     nation = given(spark, sf_dir, "nation").filter("n_nationkey <> 24")
     region = given(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("bigint").alias("competition_id"),
         F.col("n_name").alias("name"),
         F.col("r_name").alias("country_name"),
     )
+    few = joined.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(joined) if few else joined
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:

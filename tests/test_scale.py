@@ -10,6 +10,7 @@ import pytest
 from helpers import tables
 
 import __spark_entry__ as entry_points
+from registry import adapter
 from touchline import plans
 from touchline.operators import latest_per_key
 from touchline.sources import select_by_position
@@ -39,13 +40,33 @@ def test_one_row_per_key_and_task_reaches_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", MARTS)
-def test_plans_stay_in_the_jvm_and_hint_nothing(spark, name):
-    df = QUERIES[name](spark, SF_DIR)
-    plan = plan_of(df)
+def test_plans_stay_in_the_jvm(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "Python" not in plan and "Pandas" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    logical = df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in logical and "UnresolvedHint" not in logical
+
+
+def hinted(df) -> bool:
+    return "Hint" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_library_hints_no_join(spark, hot):
+    current = plans.player_current_club(hot, "2001-06-30")
+    for df in (
+        current,
+        plans.player_performance(hot, current),
+        plans.player_valuation(hot, current, "2001-06-30"),
+        plans.team_performance(hot),
+    ):
+        assert not hinted(df)
+
+
+def test_competitions_are_broadcast_only_within_their_bound(spark, monkeypatch):
+    assert hinted(adapter.competitions(spark, SF_DIR))
+    monkeypatch.setattr(adapter, "BROADCAST_ROWS", 23)
+    assert not hinted(adapter.competitions(spark, SF_DIR))
+    monkeypatch.setattr(adapter, "BROADCAST_ROWS", 24)
+    assert hinted(adapter.competitions(spark, SF_DIR))
 
 
 def test_games_are_scanned_once_for_both_sides(spark):
@@ -68,8 +89,11 @@ def test_marts_do_not_depend_on_broadcasts(spark, conf, name):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__disableHints="true",
     )
-    assert rows_of(QUERIES[name](spark, SF_DIR)) == with_broadcast
+    without = QUERIES[name](spark, SF_DIR)
+    assert rows_of(without) == with_broadcast
+    assert "Broadcast" not in plan_of(without)
 
 
 @pytest.fixture
