@@ -1,8 +1,9 @@
 """Domain tables derived from the given order and line-item tables.
 
-Some keys are missing or null on purpose, so that every branch of the marts is
-met: club 7 and competition 24 do not exist, every eleventh player has no
-recorded club, every fiftieth no birth date.
+Every given row has a place. So that every branch of the marts is met, some keys
+are changed to ones that no other table has (negative ids), or are null: no club
+ends in 7, there is no competition 24, every eleventh player has no recorded club,
+every fiftieth no birth date, and some players neither transfers nor appearances.
 """
 
 from __future__ import annotations
@@ -51,42 +52,30 @@ def _club_name(key: str | Column) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(key.cast("string"), 9, "0"))
 
 
+def _moved(condition: Column, key: Column) -> Column:
+    """The key, or where the condition holds one that no table refers to."""
+    return F.when(condition, -key).otherwise(key)
+
+
 def clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    return (
-        given(spark, sf_dir, "supplier")
-        .filter(key % 10 != 7)
-        .select(
-            key.alias("club_id"),
-            F.col("s_name").alias("name"),
-            _unless(key % 10 == 9, F.col("s_nationkey").cast("bigint")).alias(
-                "domestic_competition_id"
-            ),
-        )
+    return given(spark, sf_dir, "supplier").select(
+        _moved(key % 10 == 7, key).alias("club_id"),
+        F.col("s_name").alias("name"),
+        _unless(key % 10 == 9, F.col("s_nationkey").cast("bigint")).alias(
+            "domestic_competition_id"
+        ),
     )
 
 
-# Competitions are broadcast up to this many rows of one id and two short names.
-BROADCAST_ROWS = 10_000
-
-
 def competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their regions, broadcast if they are few.
-
-    Spark takes a join to be as large as the product of its sides. At run time it
-    may therefore broadcast the games to these few rows and join them all in one
-    task. The rows are counted, up to the bound, before the hint is given; beyond
-    it Spark decides.
-    """
-    nation = given(spark, sf_dir, "nation").filter("n_nationkey <> 24")
-    region = given(spark, sf_dir, "region")
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("competition_id"),
+    """Nations; the country is named after the region's number, so no join is needed."""
+    key = F.col("n_nationkey").cast("bigint")
+    return given(spark, sf_dir, "nation").select(
+        _moved(key == 24, key).alias("competition_id"),
         F.col("n_name").alias("name"),
-        F.col("r_name").alias("country_name"),
+        F.concat(F.lit("Country "), F.col("n_regionkey").cast("string")).alias("country_name"),
     )
-    few = joined.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(joined) if few else joined
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,11 +95,13 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of status F; the others are valuations, and in part appearances."""
+    player = F.col("l_partkey")
     return (
         given(spark, sf_dir, "lineitem")
-        .filter("l_returnflag = 'R' AND l_linestatus = 'F' AND l_partkey % 20 <> 1")
+        .filter("l_linestatus = 'F'")
         .select(
-            F.col("l_partkey").alias("player_id"),
+            _moved(player % 20 == 1, player).alias("player_id"),
             F.col("l_suppkey").alias("to_club_id"),
             _club_name("l_suppkey").alias("to_club_name"),
             _unless(F.col("l_orderkey") % 400 == 0, F.col("l_shipdate").cast("date")).alias(
@@ -122,25 +113,24 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.col("l_shipdate").cast("date")
-    items = given(spark, sf_dir, "lineitem").filter(
-        (F.col("l_returnflag") != "R")
-        & (F.col("l_linestatus") == "O")
-        & (F.col("l_partkey") % 20 != 2)
-        & (day <= F.lit(AS_OF).cast("date"))
-    )
-    orders = given(spark, sf_dir, "orders").select("o_orderkey")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_partkey").alias("player_id"),
-        F.col("l_orderkey").alias("game_id"),
-        F.col("l_suppkey").alias("player_club_id"),
-        (F.col("o_orderkey") % 25).alias("competition_id"),
-        day.alias("date"),
-        (F.col("l_linenumber") % 3).cast("bigint").alias("goals"),
-        (_whole("l_quantity") % 2).alias("assists"),
-        _whole("l_quantity").alias("minutes_played"),
-        F.when(F.col("l_returnflag") == "A", 1).otherwise(0).cast("bigint").alias("yellow_cards"),
-        F.when(F.col("l_returnflag") == "N", 1).otherwise(0).cast("bigint").alias("red_cards"),
+    player = F.col("l_partkey")
+    return (
+        given(spark, sf_dir, "lineitem")
+        .filter("l_returnflag <> 'R' AND l_linestatus = 'O'")
+        .select(
+            _moved(player % 20 == 2, player).alias("player_id"),
+            F.col("l_orderkey").alias("game_id"),
+            F.col("l_suppkey").alias("player_club_id"),
+            (F.col("l_orderkey") % 25).alias("competition_id"),
+            F.col("l_shipdate").cast("date").alias("date"),
+            (F.col("l_linenumber") % 3).cast("bigint").alias("goals"),
+            (_whole("l_quantity") % 2).alias("assists"),
+            _whole("l_quantity").alias("minutes_played"),
+            F.when(F.col("l_returnflag") == "A", 1).otherwise(0).cast("bigint").alias(
+                "yellow_cards"
+            ),
+            F.when(F.col("l_returnflag") == "N", 1).otherwise(0).cast("bigint").alias("red_cards"),
+        )
     )
 
 
@@ -212,23 +202,44 @@ class Sources(Mapping[str, DataFrame]):
         return len(TABLES)
 
 
+def filler(i: int, key: str) -> Column:
+    """Column ``i`` of a raw file that no mart names: whole numbers, fractions, or text
+    with the marks that CSV has to quote, by its place; some values are missing."""
+    key = F.col(key)
+    value = (
+        (key * i).cast("string"),
+        (key + 0.25 * i).cast("decimal(20,2)").cast("string"),
+        F.concat(F.lit(f'x{i}, "q" '), key.cast("string")),
+    )[i % 3]
+    return F.when(key % 13 != 5, value).alias(f"filler_{i}")
+
+
 def _padded(df: DataFrame, width: int, kept_after: dict[int, str]) -> DataFrame:
     """Spread the columns over a raw file of ``width`` columns with fillers."""
     return df.select(
         *[
-            F.col(kept_after[i]) if i in kept_after else F.lit(f"x{i}").alias(f"filler_{i}")
+            F.col(kept_after[i]) if i in kept_after else filler(i, kept_after[0])
             for i in range(width)
         ]
     )
 
 
+def _kick_off() -> Column:
+    """A game's day with a time: midnight itself on the reference day, else a second
+    before or after midnight, or the afternoon. Days stay as they are."""
+    times = F.element_at(
+        F.array(*map(F.lit, ("00:00:00", "00:00:01", "15:30:00", "23:59:59"))),
+        (F.col("game_id") % 4 + 1).cast("int"),
+    )
+    on_the_day = F.col("date") == F.lit(AS_OF).cast("date")
+    return F.concat_ws(" ", "date", F.when(on_the_day, "00:00:00").otherwise(times))
+
+
 def raw_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The domain tables as raw files have them: more columns, and future games."""
     frames = dict(Sources(spark, sf_dir))
     frames["games"] = _padded(
-        all_games(spark, sf_dir).withColumn(
-            "date", F.date_format("date", "yyyy-MM-dd HH:mm:ss")
-        ),
+        all_games(spark, sf_dir).withColumn("date", _kick_off()),
         23,
         {
             0: "game_id", 1: "competition_id", 2: "season", 4: "date", 5: "home_club_id",

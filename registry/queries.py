@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.adapter import AS_OF, Sources, given, write_raw_files
@@ -42,16 +42,23 @@ def mart_player_current_club(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.player_current_club(Sources(spark, sf_dir), AS_OF)
 
 
+def written_current_club(spark: SparkSession, tables: Sources) -> DataFrame:
+    """The current-club mart as a table, which the other marts read."""
+    store = src.PathStore(scratch_dir(spark))
+    src.load_table(plans.player_current_club(tables, AS_OF), "player_current_club", store)
+    return store.read(spark, "player_current_club")
+
+
 @query
 def mart_player_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Sources(spark, sf_dir)
-    return plans.player_performance(tables, plans.player_current_club(tables, AS_OF))
+    return plans.player_performance(tables, written_current_club(spark, tables))
 
 
 @query
 def mart_player_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Sources(spark, sf_dir)
-    return plans.player_valuation(tables, plans.player_current_club(tables, AS_OF), AS_OF)
+    return plans.player_valuation(tables, written_current_club(spark, tables), AS_OF)
 
 
 @query
@@ -183,12 +190,9 @@ def _season_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def conditional_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     games = Sources(spark, sf_dir)["games"]
-    rows = op.two_sided(games, SIDES, ["game_id", "season"])
-    return rows.groupBy("club_id", "season", "game_type").agg(
-        F.sum(F.when(F.col("goals_for") > F.col("goals_against"), 1).otherwise(0)).alias("wins"),
-        F.sum(F.when(F.col("goals_for") == F.col("goals_against"), 1).otherwise(0)).alias("draws"),
-        F.sum(F.when(F.col("goals_for") < F.col("goals_against"), 1).otherwise(0)).alias("losses"),
-    )
+    rows = op.two_sided(games, SIDES, ["game_id", "season", "attendance"])
+    keys = ["club_id", "season", "game_type"]
+    return op.results_per_side(rows, keys).select(*keys, "wins", "draws", "losses")
 
 
 @query
@@ -439,37 +443,32 @@ def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.clean(src.read_table_csv(spark, folder), src.STAGING["appearances"])
 
 
-# The columns whose sums sum up a staging table.
-CHECKED = {
-    "appearances": ("game_id", "minutes_played"),
-    "clubs": ("club_id", "club_id"),
-    "club_games": ("game_id", "club_id"),
-    "competitions": ("competition_id", "competition_id"),
-    "games": ("game_id", "attendance"),
-    "players": ("player_id", "current_club_id"),
-    "player_valuations": ("player_id", "player_id"),
-    "transfers": ("player_id", "to_club_id"),
-}
+def as_rows(name: str, df: DataFrame) -> DataFrame:
+    """All columns of a table as one text, by upper-case name: fractions with four
+    decimals, dates and whole numbers as they are written, a null by name."""
+    texts = []
+    for column, dtype in sorted((c.upper(), t) for c, t in df.dtypes):
+        value = F.col(column)
+        if dtype == "double":
+            value = value.cast("decimal(38,4)")
+        texts.append(F.coalesce(value.cast("string"), F.lit("~null~")))
+    return df.select(
+        F.lit(name).alias("table_name"),
+        F.lit(len(texts)).alias("columns"),
+        F.concat_ws("|", *texts).alias("row_text"),
+    )
 
 
 @query
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables loaded twice over, then summed up from the staging tables."""
+    """All tables loaded twice over; every row and column of the staging tables."""
     scratch = scratch_dir(spark)
     raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
     staging = src.PathStore(f"{scratch}/staging")
     src.load_all(spark, raw, staging, AS_OF)
     src.load_all(spark, raw, staging, AS_OF)
-    summaries = [
-        staging.read(spark, name).agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(F.col(first).cast("bigint")).alias("first_sum"),
-            F.sum(F.col(second).cast("bigint")).alias("second_sum"),
-        )
-        for name, (first, second) in CHECKED.items()
-    ]
-    return reduce(DataFrame.unionByName, summaries)
+    tables = [as_rows(name, staging.read(spark, name)) for name in src.STAGING]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query
@@ -482,23 +481,71 @@ def empty_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark, "transfers")
 
 
+# Parts that the audited tables are written in, for each load.
+PARTS = (3, 2)
+
+
 @query
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the audit of each load reports."""
-    scratch = scratch_dir(spark)
-    raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
-    results = src.load_all(spark, raw, src.PathStore(f"{scratch}/staging"), AS_OF)
+    """What the audits report of loads in a known number of parts: each domain table
+    replaced in 3 parts, then appended to in 2."""
+    store = src.PathStore(scratch_dir(spark))
+    results = []
+    for name, df in Sources(spark, sf_dir).items():
+        for mode, parts in zip(("overwrite", "append"), PARTS, strict=True):
+            audit = src.load_table(df.repartition(parts), name, store, mode)
+            results.append((audit.table, mode, audit.success, audit.chunks, audit.rows))
     return spark.createDataFrame(
-        [(r.table, r.success, r.chunks > 0, r.rows) for r in results],
-        "table_name string, success boolean, has_files boolean, row_count bigint",
+        results,
+        "table_name string, mode string, success boolean, chunks int, row_count bigint",
     )
 
 
 @query
 def refresh_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files to staging to marts; the performance mart as it was written."""
+    """Raw files to staging to marts; all rows of the four marts as they were written."""
     scratch = scratch_dir(spark)
     raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
     marts = src.PathStore(f"{scratch}/marts")
-    plans.run_refresh(spark, raw, src.PathStore(f"{scratch}/staging"), marts, AS_OF)
-    return marts.read(spark, "player_performance")
+    written = plans.run_refresh(spark, raw, src.PathStore(f"{scratch}/staging"), marts, AS_OF)
+    tables = [as_rows(load.table, marts.read(spark, load.table)) for load in written.marts]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def awkward_text() -> Column:
+    """Whole texts, some of them empty, a missing-value token, or with quotes and commas."""
+    kind = F.col("doc_id") % 10
+    quoted = F.concat(F.lit('"a", "b"\n,'), "text", F.lit('"'))
+    return F.when(kind == 1, "NA").when(kind == 2, "").when(kind == 3, quoted).otherwise(F.col("text"))
+
+
+@query
+def csv_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text through a CSV file with quoted line breaks, and back."""
+    folder = f"{scratch_dir(spark)}/documents.csv"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.select("doc_id", awkward_text().alias("text")).write.option("header", True).option(
+        "escape", '"'
+    ).csv(folder)
+    spec = src.TableSpec("documents", types={"DOC_ID": "bigint"}, multi_line=True)
+    return src.clean(src.read_table_csv(spark, folder, multi_line=True), spec)
+
+
+@query
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clubs and club games as loaded: the types of columns that no recipe lists."""
+    scratch = scratch_dir(spark)
+    raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
+    staging = src.PathStore(f"{scratch}/staging")
+    specs = {name: src.STAGING[name] for name in ("clubs", "club_games")}
+    src.load_all(spark, raw, staging, AS_OF, specs)
+    kinds = []
+    for name in specs:
+        loaded = staging.read(spark, name)
+        types = F.array(*[F.lit(f"{c} {t}") for c, t in loaded.dtypes])
+        kinds.append(
+            loaded.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("table_name"), "row_count", F.explode(types).alias("column_type")
+            )
+        )
+    return reduce(DataFrame.unionByName, kinds)

@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -33,13 +35,13 @@ def ordered(rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, oracle, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
-    expected = oracle.sql(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    expected = oracle.sql(ORACLE[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     types = dict(zip(expected.columns, map(str, expected.types)))

@@ -11,12 +11,12 @@ from helpers import tables
 
 import __spark_entry__ as entry_points
 from registry import adapter
+from registry.queries import QUERIES
 from touchline import plans
 from touchline.operators import latest_per_key
 from touchline.sources import select_by_position
 
 SF_DIR = entry_points.SMOKE_DIR
-QUERIES = entry_points.queries()
 MARTS = sorted(name for name in QUERIES if name.startswith("mart_"))
 
 
@@ -61,12 +61,38 @@ def test_the_library_hints_no_join(spark, hot):
         assert not hinted(df)
 
 
-def test_competitions_are_broadcast_only_within_their_bound(spark, monkeypatch):
-    assert hinted(adapter.competitions(spark, SF_DIR))
-    monkeypatch.setattr(adapter, "BROADCAST_ROWS", 23)
-    assert not hinted(adapter.competitions(spark, SF_DIR))
-    monkeypatch.setattr(adapter, "BROADCAST_ROWS", 24)
-    assert hinted(adapter.competitions(spark, SF_DIR))
+@pytest.mark.parametrize("name", sorted(adapter.TABLES))
+def test_domain_tables_need_no_join_and_no_job(spark, name):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"plan {name}", "")
+    df = adapter.TABLES[name](spark, SF_DIR)
+    assert not hinted(df) and "Join" not in plan_of(df)
+    assert not jobs.getJobIdsForGroup(f"plan {name}")
+
+
+def test_every_line_item_has_a_place(spark):
+    tables = adapter.Sources(spark, SF_DIR)
+    items = adapter.given(spark, SF_DIR, "lineitem")
+    assert tables["transfers"].count() + tables["player_valuations"].count() == items.count()
+    cards = items.filter("l_linestatus = 'O' AND l_returnflag <> 'R'")
+    assert tables["appearances"].count() == cards.count()
+    for name, given in (("clubs", "supplier"), ("competitions", "nation"), ("players", "part")):
+        assert tables[name].count() == adapter.given(spark, SF_DIR, given).count()
+
+
+def test_rates_scan_the_orders_once(spark):
+    plan = plan_of(QUERIES["per_unit_rates"](spark, SF_DIR))
+    assert plan.count("/orders.parquet") == 1
+
+
+@pytest.mark.parametrize(
+    ("name", "ranked"), [("mart_player_performance", 0), ("mart_player_valuation", 2)]
+)
+def test_marts_read_the_written_current_club(spark, name, ranked):
+    """What is ranked are transfers and valuations, never appearances."""
+    df = QUERIES[name](spark, SF_DIR)
+    assert any("player_current_club" in file for file in df.inputFiles())
+    assert plan_of(df).count("Window [row_number()") == ranked
 
 
 def test_games_are_scanned_once_for_both_sides(spark):
@@ -190,13 +216,15 @@ def test_a_hot_player_in_every_latest_record(spark, conf, hot):
 
 def test_a_refresh_ranks_the_transfers_once(spark, hot, tmp_path):
     from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
+
+    newest = LATEST_TRANSFERS["first"]
     from touchline.sources import PathStore, load_table
 
     store = PathStore(str(tmp_path))
     alone = plans.player_current_club(hot, "2001-06-30")
     ranked_alone = plan_of(alone).count("Window [row_number()")
-    load_table(latest_transfers(hot), LATEST_TRANSFERS, store)
-    shared = {**hot, LATEST_TRANSFERS: store.read(spark, LATEST_TRANSFERS)}
+    load_table(latest_transfers(hot), newest, store)
+    shared = {**hot, newest: store.read(spark, newest)}
     current = plans.player_current_club(shared, "2001-06-30")
     assert ranked_alone == 2
     assert plan_of(current).count("Window [row_number()") == 1
@@ -204,3 +232,18 @@ def test_a_refresh_ranks_the_transfers_once(spark, hot, tmp_path):
     valuation = plans.player_valuation(shared, current, "2001-06-30")
     expected = plans.player_valuation(hot, alone, "2001-06-30")
     assert rows_of(valuation) == rows_of(expected)
+
+
+def test_players_without_a_club_are_a_hot_key(spark, conf, hot):
+    """A third of the players, and more, derive no club: null is the hot key of a join."""
+    hot["players"] = hot["players"].selectExpr(
+        "*", "IF(player_id % 3 > 0, NULL, current_club_id) AS club"
+    ).drop("current_club_id").withColumnRenamed("club", "current_club_id")
+    hot["transfers"] = hot["transfers"].filter("player_id % 3 = 0")
+    hot["appearances"] = hot["appearances"].filter("player_id % 3 = 0")
+    current = plans.player_current_club(hot, "2001-06-30")
+    assert current.filter("derived_current_club_id IS NULL").count() == 664
+    expected = rows_of(plans.player_valuation(hot, current, "2001-06-30"))
+    conf(**SHUFFLED_AND_SKEWED)
+    shuffled = plans.player_valuation(hot, plans.player_current_club(hot, "2001-06-30"), "2001-06-30")
+    assert rows_of(shuffled) == expected
