@@ -8,7 +8,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from touchline import sources as src
+from touchline.functions.dates import one_day
 from touchline.plans import run_refresh
+from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
 from touchline.session import scratch_dir
 
 AS_OF = "2001-06-30"
@@ -183,14 +185,50 @@ def test_load_keeps_null_tokens_as_text_if_told_so(spark, tmp_path, raw):
     assert store.read(spark, "players").first().NAME == "NA"
 
 
-def test_load_can_check_keys(spark, tmp_path, raw):
-    source = {"clubs": f"{raw}/clubs.csv"}
+def test_repeated_keys_raise_by_default_and_keep_the_old_table(spark, tmp_path, raw):
     doubled = write(tmp_path / "c.csv", wide(15, {0: "club_id"}, [{"club_id": 1}] * 2))
     specs = {"clubs": src.STAGING["clubs"]}
     store = src.PathStore(str(tmp_path / "staging"))
-    src.load_all(spark, source, store, specs=specs, check_keys=True)
+    src.load_all(spark, raw, store, specs=specs)
     with pytest.raises(ValueError, match="not unique"):
-        src.load_all(spark, {"clubs": doubled}, store, specs=specs, check_keys=True)
+        src.load_all(spark, {"clubs": doubled}, store, specs=specs)
+    assert sorted(r.CLUB_ID for r in store.read(spark, "clubs").collect()) == [1, 2]
+    src.load_all(spark, {"clubs": doubled}, store, specs=specs, check_keys=False)
+    assert store.read(spark, "clubs").count() == 2
+    paths = {name: f"{raw}/{name}.csv" for name in src.STAGING} | {"clubs": doubled}
+    with pytest.raises(ValueError, match="not unique"):
+        run_refresh(spark, paths, store, src.PathStore(str(tmp_path / "marts")), AS_OF)
+
+
+def test_types_of_unlisted_columns_follow_from_all_rows(spark):
+    df = spark.createDataFrame(
+        [("1", "1", "1", None, "12345678901234567890", "1d"),
+         ("-2", "2.5", "x", None, "1", "2"),
+         (None, "1e3", "3", None, "2", "3")],
+        "whole string, number string, word string, none string, huge string, odd string",
+    )
+    found = src.infer_types(df, df.columns)
+    assert found == {"whole": "bigint", "number": "double"}
+    typed = src.parse_numbers(df, found)
+    assert [tuple(r)[:2] for r in typed.collect()] == [(1, 1.0), (-2, 2.5), (None, 1000.0)]
+    assert src.infer_types(df.limit(0), df.columns) == {}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", ["2024-13-01", "31.08.2024", ""])
+def test_a_bad_reference_day_raises(spark, conf, ansi, bad):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = spark.sql("SELECT date'2024-01-01' AS d")
+    with pytest.raises(ValueError):
+        src.drop_future(df, "d", bad)
+    with pytest.raises(ValueError):
+        one_day(spark, bad)
+
+
+def test_the_reference_day_is_one_value(spark):
+    assert one_day(spark, "2024-08-31") == one_day(spark, day("2024-08-31")) == day("2024-08-31")
+    assert one_day(spark, datetime(2024, 8, 31, 15)) == day("2024-08-31")
+    assert one_day(spark) == spark.sql("SELECT current_date()").first()[0]
 
 
 @pytest.fixture(params=["path", "catalog"])
@@ -215,6 +253,42 @@ def test_stores_overwrite_append_and_empty(spark, store):
     assert store.read(spark, "t").columns == ["id", "name"]
 
 
+def test_audits_count_their_own_write(spark, store):
+    df = spark.range(1000).toDF("id")
+    first = src.load_table(df.repartition(3), "t", store)
+    assert (first.success, first.chunks, first.rows) == (True, 3, 1000)
+    more = src.load_table(df.repartition(2), "t", store, mode="append")
+    assert (more.success, more.chunks, more.rows) == (True, 2, 1000)
+    again = src.load_table(df.repartition(4), "t", store)
+    assert (again.success, again.chunks, again.rows) == (True, 4, 1000)
+    assert store.read(spark, "t").count() == 1000
+    fresh = src.load_table(df.repartition(2), "u", store, mode="append")
+    assert (fresh.success, fresh.chunks, fresh.rows) == (True, 2, 1000)
+    nothing = src.load_table(df.limit(0), "u", store)
+    assert (nothing.success, nothing.rows) == (True, 0)
+    with pytest.raises(ValueError, match="neither"):
+        src.load_table(df, "t", store, mode="ignore")
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark, store):
+    src.load_table(spark.range(5).toDF("id"), "t", store)
+    bad = spark.range(0, 100, 1, 4).selectExpr("IF(id = 99, raise_error('no'), id) AS id")
+    with pytest.raises(FAILURES):
+        src.load_table(bad, "t", store)
+    assert store.read(spark, "t").count() == 5
+    with pytest.raises(FAILURES):
+        store.write(bad, "t")
+    assert store.read(spark, "t").count() == 5
+
+
+def test_leftovers_of_a_failed_write_can_be_emptied(spark, tmp_path):
+    store = src.PathStore(str(tmp_path / "tables"))
+    (tmp_path / "tables" / "t" / "_temporary").mkdir(parents=True)
+    store.empty(spark, "t")
+    src.load_table(spark.range(5).toDF("id"), "t", store, mode="append")
+    assert store.read(spark, "t").count() == 5
+
+
 def test_stores_reject_equal_names(spark, store):
     df = spark.sql("SELECT 1 AS a, 2 AS A")
     with pytest.raises(ValueError, match="more than once"):
@@ -249,6 +323,32 @@ def test_refresh_writes_all_marts(spark, tmp_path, raw):
     assert repeated == result
 
 
+def test_the_order_of_nulls_holds_for_the_whole_refresh(spark, tmp_path, raw):
+    transfers = write(
+        tmp_path / "t.csv",
+        "player_id,to_club_id,to_club_name,transfer_date,transfer_fee\n"
+        "1,1,One,,\n1,2,Two,2002-01-01,7\n",
+    )
+    paths = {name: f"{raw}/{name}.csv" for name in src.STAGING} | {"transfers": transfers}
+    found = {}
+    for nulls in ("first", "last"):
+        staging = src.PathStore(str(tmp_path / f"s-{nulls}"))
+        marts = src.PathStore(str(tmp_path / f"m-{nulls}"))
+        run_refresh(spark, paths, staging, marts, AS_OF, nulls=nulls)
+        club = marts.read(spark, "player_current_club").first()
+        value = marts.read(spark, "player_valuation").first()
+        found[nulls] = (club.club_data_source, value.last_transfer_fee)
+    assert found == {"first": ("Original Record", None), "last": ("Latest Transfer", 7.0)}
+
+
+def test_a_table_prepared_for_the_other_order_of_nulls_raises(spark):
+    prepared = spark.createDataFrame([(1,)], "player_id bigint")
+    sources = {"transfers": prepared, LATEST_TRANSFERS["first"]: prepared}
+    assert latest_transfers(sources) is prepared
+    with pytest.raises(ValueError, match="nulls_last"):
+        latest_transfers(sources, "last")
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark).startswith(shared)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.constants import NO_RECORD_DATE, STALE_AFTER_MONTHS
@@ -16,11 +16,21 @@ def column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def parse_day(day: date | str) -> date:
+    """A day given as a date or as yyyy-mm-dd; anything else raises."""
+    return date.fromisoformat(day) if isinstance(day, str) else date(day.year, day.month, day.day)
+
+
+def one_day(spark: SparkSession, as_of: date | str | None = None) -> date:
+    """The reference day of a whole run: the given one, or today in the session's zone."""
+    if as_of is None:
+        return spark.range(1).select(F.current_date()).first()[0]
+    return parse_day(as_of)
+
+
 def as_of_column(as_of: date | str | None = None) -> Column:
     """The reference day as a DATE column; the current date if none is given."""
-    if as_of is None:
-        return F.current_date()
-    return F.lit(str(as_of)).cast("date")
+    return F.current_date() if as_of is None else F.lit(parse_day(as_of))
 
 
 def date_parts(day: ColumnOrName) -> dict[str, Column]:

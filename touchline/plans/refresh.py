@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.constants import NULL_TOKENS
+from touchline.functions.dates import one_day
 from touchline.plans.current_club import player_current_club
 from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
 from touchline.plans.performance import player_performance
@@ -41,32 +42,39 @@ def run_refresh(
     as_of: date | str | None = None,
     specs: Mapping[str, TableSpec] = STAGING,
     null_tokens: Sequence[str] = NULL_TOKENS,
-    check_keys: bool = False,
+    check_keys: bool = True,
+    nulls: str = "first",
 ) -> RefreshResult:
     """Load all tables, then write the four marts in order of dependency.
 
-    Each table is replaced, so a run can be repeated after any failure. What two
-    marts read, the newest transfers and the current clubs, is written once and
-    read back.
+    Each table is replaced in one step, so a run can be repeated after any
+    failure. What two marts read, the newest transfers and the current clubs, is
+    written once and read back. One reference day and one order of nulls hold
+    for the whole run. A dimension with a repeated key raises before it replaces
+    the old one.
     """
+    as_of = one_day(spark, as_of)
+    newest = LATEST_TRANSFERS[nulls]
     loaded = load_all(spark, source, staging, as_of, specs, null_tokens, check_keys)
     tables = {name: staging.read(spark, name) for name in specs}
 
     ranked, teams = run_together(
         spark,
         [
-            lambda: load_table(latest_transfers(tables), LATEST_TRANSFERS, staging),
+            lambda: load_table(latest_transfers(tables, nulls), newest, staging),
             lambda: write_mart(team_performance(tables), "team_performance", marts),
         ],
     )
-    tables[LATEST_TRANSFERS] = staging.read(spark, LATEST_TRANSFERS)
-    current = write_mart(player_current_club(tables, as_of), "player_current_club", marts)
+    tables[newest] = staging.read(spark, newest)
+    current = write_mart(player_current_club(tables, as_of, nulls), "player_current_club", marts)
     club = marts.read(spark, "player_current_club")
     players = run_together(
         spark,
         [
             lambda: write_mart(player_performance(tables, club), "player_performance", marts),
-            lambda: write_mart(player_valuation(tables, club, as_of), "player_valuation", marts),
+            lambda: write_mart(
+                player_valuation(tables, club, as_of, nulls), "player_valuation", marts
+            ),
         ],
     )
     return RefreshResult([*loaded, ranked], [current, teams, *players])

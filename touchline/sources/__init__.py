@@ -3,10 +3,12 @@
 from touchline.sources.cleaning import (
     clean,
     drop_future,
+    infer_types,
     narrow_timestamps,
     normalise_columns,
     null_tokens_to_null,
     parse_dates,
+    parse_numbers,
     select_by_position,
 )
 from touchline.sources.csv import read_table_csv
@@ -22,12 +24,14 @@ __all__ = [
     "TableSpec",
     "clean",
     "drop_future",
+    "infer_types",
     "load_all",
     "load_table",
     "narrow_timestamps",
     "normalise_columns",
     "null_tokens_to_null",
     "parse_dates",
+    "parse_numbers",
     "read_table_csv",
     "select_by_position",
 ]

@@ -61,6 +61,8 @@ def parse_numbers(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """
     parsed = {}
     for name, dtype in types.items():
+        if dtype == "string":
+            continue
         text = F.col(name)
         values = [text.try_cast(dtype)]
         if dtype == "bigint":
@@ -70,6 +72,50 @@ def parse_numbers(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns(parsed)
 
 
+# Texts that are whole numbers, and numbers: digits, a point, an exponent.
+WHOLE = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def unlisted(df: DataFrame, spec: TableSpec) -> list[str]:
+    """The text columns of a cleaned table whose type its recipe does not tell."""
+    listed = {*spec.types, *spec.dates}
+    texts = (f.name for f in df.schema if isinstance(f.dataType, StringType))
+    return [name for name in texts if name not in listed]
+
+
+def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """bigint or double for the text columns in which every value is such a number.
+
+    One pass over all rows decides, never a sample; nulls do not count. A column
+    without a value stays text, and so does one whose whole numbers exceed a
+    bigint.
+    """
+    if not columns:
+        return {}
+
+    def everywhere(name: str, pattern: str, dtype: str) -> Column:
+        fits = F.col(name).rlike(pattern) & F.col(name).try_cast(dtype).isNotNull()
+        return F.coalesce(F.bool_and(F.when(F.col(name).isNotNull(), fits)), F.lit(False))
+
+    row = df.agg(
+        *[
+            F.struct(
+                everywhere(name, WHOLE, "bigint").alias("bigint"),
+                (~F.bool_or(F.col(name).rlike(WHOLE) & F.col(name).try_cast("bigint").isNull())
+                 & everywhere(name, NUMBER, "double")).alias("double"),
+            ).alias(f"c{i}")
+            for i, name in enumerate(columns)
+        ]
+    ).first()
+    found = {}
+    for i, name in enumerate(columns):
+        kinds = [dtype for dtype in ("bigint", "double") if row[f"c{i}"][dtype]]
+        if kinds:
+            found[name] = kinds[0]
+    return found
+
+
 def drop_future(df: DataFrame, column: str, as_of: date | str | None = None) -> DataFrame:
     """Keep rows up to midnight at the start of the reference day.
 

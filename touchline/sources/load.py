@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.constants import NULL_TOKENS
+from touchline.functions.dates import one_day
 from touchline.operators.checks import assert_unique
-from touchline.sources.cleaning import clean
+from touchline.sources.cleaning import clean, infer_types, parse_numbers, unlisted
 from touchline.sources.csv import read_table_csv
 from touchline.sources.store import Store
 from touchline.sources.tables import STAGING, TableSpec
@@ -21,7 +22,8 @@ from touchline.together import run_together
 
 @dataclass(frozen=True)
 class LoadResult:
-    """The audit of one load: rows written, and files the table now consists of."""
+    """The audit of one load: files and rows that it wrote, and whether all rows that
+    reached the writers are in those files."""
 
     table: str
     success: bool
@@ -32,26 +34,57 @@ class LoadResult:
         return f"{self.table}: success {self.success}, chunks {self.chunks}, rows {self.rows}"
 
 
+def _content(df: DataFrame) -> tuple[int, int]:
+    """Files with rows, and rows, of a table just written; no column is read."""
+    by_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    row = by_file.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
+    return row["files"], row["rows"] or 0
+
+
 def load_table(
     df: DataFrame,
     name: str,
     store: Store,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    key: Sequence[str] = (),
 ) -> LoadResult:
-    """Write a table and count its rows in the same pass.
+    """Write a table and audit what this load wrote.
 
-    The default replaces the table, so that a repeated load adds no rows twice.
-    With ``partition_by``, each value goes to few files, a hot one to several.
+    The default replaces the table in one step, so that a repeated load adds no
+    rows twice; a ``key`` that repeats raises before that, and the old table
+    stays. With ``partition_by``, each value goes to few files, a hot one to
+    several. Appends to one table must not run side by side.
     """
+    spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     # Observed last, in the stage that writes: a task that is repeated after the
     # loss of an executor is counted once there.
     audit = Observation(f"load {name}")
-    store.write(df.observe(audit, F.count(F.lit(1)).alias("rows")), name, mode, partition_by)
-    files = store.read(df.sparkSession, name, df.schema).inputFiles()
-    return LoadResult(name, True, len(files), audit.get["rows"])
+    observed = df.observe(audit, F.count(F.lit(1)).alias("rows"))
+    if mode == "append":
+        there = store.exists(spark, name)
+        before = _content(store.read(spark, name)) if there else (0, 0)
+        store.append(observed, name, partition_by)
+        after = _content(store.read(spark, name))
+        files, rows = after[0] - before[0], after[1] - before[1]
+    elif mode == "overwrite":
+        new = store.prepare(observed, name, partition_by)
+        try:
+            files, rows = _content(store.read(spark, new, df.schema))
+            if key:
+                assert_unique(store.read(spark, new, df.schema), key)
+            store.publish(spark, new, name)
+        except BaseException:
+            store.discard(spark, new)
+            raise
+    else:
+        raise ValueError(f"mode {mode} is neither overwrite nor append")
+    written = audit.get["rows"]
+    return LoadResult(name, rows == written, files, written)
 
 
 def load_all(
@@ -61,21 +94,22 @@ def load_all(
     as_of: date | str | None = None,
     specs: Mapping[str, TableSpec] = STAGING,
     null_tokens: Sequence[str] = NULL_TOKENS,
-    check_keys: bool = False,
+    check_keys: bool = True,
 ) -> list[LoadResult]:
     """Load every raw table by its own recipe; the loads run side by side.
 
     ``source`` is a folder with ``<table>.csv`` files (or folders of CSV files),
-    or a mapping from table to path. ``check_keys`` raises on a dimension whose
-    key repeats, which would multiply the rows of the marts.
+    or a mapping from table to path. A dimension whose key repeats raises, since it
+    would multiply the rows of the marts, and the old table stays; without
+    ``check_keys`` it is loaded.
     """
+    day = one_day(spark, as_of)
 
     def load(spec: TableSpec) -> LoadResult:
         path = source[spec.name] if isinstance(source, Mapping) else f"{source}/{spec.name}.csv"
         raw = read_table_csv(spark, path, multi_line=spec.multi_line)
-        result = load_table(clean(raw, spec, as_of, null_tokens), spec.name, store)
-        if check_keys and spec.key:
-            assert_unique(store.read(spark, spec.name), spec.key)
-        return result
+        cleaned = clean(raw, spec, day, null_tokens)
+        cleaned = parse_numbers(cleaned, infer_types(cleaned, unlisted(cleaned, spec)))
+        return load_table(cleaned, spec.name, store, key=spec.key if check_keys else ())
 
     return run_together(spark, [partial(load, spec) for spec in specs.values()])

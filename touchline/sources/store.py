@@ -1,7 +1,13 @@
-"""Where staging and mart tables live: a folder of Parquet tables or a database."""
+"""Where staging and mart tables live: a folder of Parquet tables or a database.
+
+A table is replaced in two steps. ``prepare`` writes the rows under a new name,
+which may be read and checked; ``publish`` gives them the table's name by renaming,
+which moves no data. A write that fails leaves the old rows as they are.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,6 +17,9 @@ from pyspark.sql.types import StructType
 
 from touchline.operators.checks import check_distinct_names
 
+# Errors of a read that mean that there is no table, or only leftovers of a write.
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]) -> DataFrameWriter:
     check_distinct_names(df.columns)
@@ -18,8 +27,27 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]) -> DataFrameW
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+def _fresh(name: str) -> str:
+    return f"{name}__{uuid.uuid4().hex}"
+
+
+class Replacing:
+    """What both kinds of store do with ``prepare``, ``publish`` and ``discard``."""
+
+    def write(
+        self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    ) -> None:
+        """Replace a table, or append to it."""
+        if mode == "append":
+            self.append(df, name, partition_by)
+        elif mode == "overwrite":
+            self.publish(df.sparkSession, self.prepare(df, name, partition_by), name)
+        else:
+            raise ValueError(f"mode {mode} is neither overwrite nor append")
+
+
 @dataclass(frozen=True)
-class PathStore:
+class PathStore(Replacing):
     """Parquet tables in a folder of shared storage."""
 
     root: str
@@ -27,32 +55,68 @@ class PathStore:
     def location(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def read(
-        self, spark: SparkSession, name: str, schema: StructType | None = None
-    ) -> DataFrame:
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
         """The table; a known schema saves the look into its files."""
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(self.location(name))
 
-    def write(
-        self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
-    ) -> None:
-        _writer(df, mode, partition_by).parquet(self.location(name))
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        try:
+            self.read(spark, name)
+        except AnalysisException as error:
+            if error.getCondition() not in NO_TABLE:
+                raise
+            return False
+        return True
+
+    def _file_system(self, spark: SparkSession, name: str):  # noqa: ANN202
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.location(name))
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+    def prepare(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+        """Write the rows beside the table and return the new name; a failure leaves none."""
+        new = _fresh(name)
+        try:
+            _writer(df, "errorifexists", partition_by).parquet(self.location(new))
+        except BaseException:
+            self.discard(df.sparkSession, new)
+            raise
+        return new
+
+    def publish(self, spark: SparkSession, new: str, name: str) -> None:
+        """Put prepared rows in the place of the table."""
+        files, path = self._file_system(spark, name)
+        _, source = self._file_system(spark, new)
+        old = _fresh(name)
+        _, aside = self._file_system(spark, old)
+        if files.exists(path) and not files.rename(path, aside):
+            raise OSError(f"{path.toString()} cannot be moved aside")
+        if not files.rename(source, path):
+            files.rename(aside, path)
+            raise OSError(f"{source.toString()} cannot be moved to its place")
+        self.discard(spark, old)
+        spark.catalog.refreshByPath(self.location(name))
+
+    def discard(self, spark: SparkSession, new: str) -> None:
+        """Drop prepared rows."""
+        files, path = self._file_system(spark, new)
+        files.delete(path, True)
+
+    def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+        _writer(df, "append", partition_by).parquet(self.location(name))
 
     def empty(self, spark: SparkSession, *names: str) -> None:
-        """Remove all rows of the tables that exist."""
+        """Remove all rows of the tables that exist, and the leftovers of failed writes."""
         for name in names:
-            try:
+            if self.exists(spark, name):
                 schema = self.read(spark, name).schema
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue
-            self.write(spark.createDataFrame([], schema), name)
+                self.write(spark.createDataFrame([], schema), name)
+            else:
+                self.discard(spark, name)
 
 
 @dataclass(frozen=True)
-class CatalogStore:
+class CatalogStore(Replacing):
     """Tables of one database in the session's catalog."""
 
     database: str
@@ -60,21 +124,51 @@ class CatalogStore:
     def location(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def read(
-        self, spark: SparkSession, name: str, schema: StructType | None = None
-    ) -> DataFrame:
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
         """The table, with the schema that the catalog holds."""
         return spark.table(self.location(name))
 
-    def write(
-        self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
-    ) -> None:
-        _writer(df, mode, partition_by).format("parquet").saveAsTable(self.location(name))
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        return spark.catalog.tableExists(self.location(name))
+
+    def prepare(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+        """Write the rows as a new table and return its name; a failure leaves none."""
+        new = _fresh(name)
+        try:
+            self._save(df, new, "errorifexists", partition_by)
+        except BaseException:
+            self.discard(df.sparkSession, new)
+            raise
+        return new
+
+    def publish(self, spark: SparkSession, new: str, name: str) -> None:
+        """Put a prepared table in the place of the table."""
+        old = _fresh(name)
+        replaced = self.exists(spark, name)
+        if replaced:
+            spark.sql(f"ALTER TABLE {self.location(name)} RENAME TO {self.location(old)}")
+        spark.sql(f"ALTER TABLE {self.location(new)} RENAME TO {self.location(name)}")
+        if any(column.isPartition for column in spark.catalog.listColumns(self.location(name))):
+            # The catalog still has the partitions at the places they were written to.
+            spark.catalog.recoverPartitions(self.location(name))
+        if replaced:
+            self.discard(spark, old)
+
+    def discard(self, spark: SparkSession, new: str) -> None:
+        """Drop a prepared table."""
+        spark.sql(f"DROP TABLE IF EXISTS {self.location(new)}")
+
+    def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+        self._save(df, name, "append", partition_by)
+
+    def _save(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> None:
+        writer = _writer(df, mode, partition_by).format("parquet")
+        writer.saveAsTable(self.location(name))
 
     def empty(self, spark: SparkSession, *names: str) -> None:
         """Remove all rows of the tables that exist."""
         for name in names:
-            if spark.catalog.tableExists(self.location(name)):
+            if self.exists(spark, name):
                 spark.sql(f"TRUNCATE TABLE {self.location(name)}")
 
 

@@ -12,7 +12,7 @@ from touchline.constants import CLUBS_POSITIONS, COMPETITIONS_POSITIONS, GAMES_P
 class TableSpec:
     """The cleaning recipe of one table; column names are upper case.
 
-    ``types`` lists the columns that are not text, other columns stay text.
+    ``types`` lists columns whose type is known; a load infers those of the others.
     ``positions`` are the ordinals to keep, all of them if None. Rows whose
     ``future_bound`` lies after the reference day are dropped. ``multi_line``
     allows quoted line breaks, at the price of one task per file; without it a
@@ -33,21 +33,28 @@ def _typed(dtype: str, *columns: str) -> dict[str, str]:
     return dict.fromkeys(columns, dtype)
 
 
-# The fact tables are split freely. The dimensions are small and hold free text.
+# Ids of competitions are texts or numbers, but alike in all tables that join on them.
+# Tables are split freely; only two small dimensions may hold quoted line breaks.
 STAGING = {
     spec.name: spec
     for spec in (
         TableSpec(
             "appearances",
-            types=_typed(
-                "bigint", "PLAYER_ID", "GAME_ID", "PLAYER_CLUB_ID", "GOALS", "ASSISTS",
-                "MINUTES_PLAYED", "YELLOW_CARDS", "RED_CARDS",
-            ),
+            types={
+                **_typed("string", "COMPETITION_ID"),
+                **_typed(
+                    "bigint", "PLAYER_ID", "GAME_ID", "PLAYER_CLUB_ID", "GOALS", "ASSISTS",
+                    "MINUTES_PLAYED", "YELLOW_CARDS", "RED_CARDS",
+                ),
+            },
             dates=("DATE",),
         ),
         TableSpec(
             "clubs",
-            types=_typed("bigint", "CLUB_ID"),
+            types={
+                **_typed("bigint", "CLUB_ID"),
+                **_typed("string", "NAME", "DOMESTIC_COMPETITION_ID"),
+            },
             positions=CLUBS_POSITIONS,
             multi_line=True,
             key=("CLUB_ID",),
@@ -55,16 +62,20 @@ STAGING = {
         TableSpec("club_games"),
         TableSpec(
             "competitions",
+            types=_typed("string", "COMPETITION_ID", "NAME", "COUNTRY_NAME"),
             positions=COMPETITIONS_POSITIONS,
             multi_line=True,
             key=("COMPETITION_ID",),
         ),
         TableSpec(
             "games",
-            types=_typed(
-                "bigint", "GAME_ID", "SEASON", "HOME_CLUB_ID", "AWAY_CLUB_ID",
-                "HOME_CLUB_GOALS", "AWAY_CLUB_GOALS", "ATTENDANCE",
-            ),
+            types={
+                **_typed("string", "COMPETITION_ID"),
+                **_typed(
+                    "bigint", "GAME_ID", "SEASON", "HOME_CLUB_ID", "AWAY_CLUB_ID",
+                    "HOME_CLUB_GOALS", "AWAY_CLUB_GOALS", "ATTENDANCE",
+                ),
+            },
             dates=("DATE",),
             positions=GAMES_POSITIONS,
             future_bound="DATE",
@@ -74,9 +85,9 @@ STAGING = {
             types={
                 **_typed("bigint", "PLAYER_ID", "CURRENT_CLUB_ID"),
                 **_typed("double", "HIGHEST_MARKET_VALUE_IN_EUR"),
+                **_typed("string", "NAME", "CURRENT_CLUB_NAME", "POSITION", "SUB_POSITION"),
             },
             dates=("DATE_OF_BIRTH", "CONTRACT_EXPIRATION_DATE"),
-            multi_line=True,
             key=("PLAYER_ID",),
         ),
         TableSpec(
@@ -92,6 +103,7 @@ STAGING = {
             types={
                 **_typed("bigint", "PLAYER_ID", "TO_CLUB_ID"),
                 **_typed("double", "TRANSFER_FEE"),
+                **_typed("string", "TO_CLUB_NAME"),
             },
             dates=("TRANSFER_DATE",),
         ),
