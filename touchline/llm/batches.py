@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,14 @@ def map_slices(df: DataFrame, setup: Callable[[], Work], schema: dict[str, str])
     return df.mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
 
 
+def lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a column of arrays of whole numbers without nulls inside; a null
+    row is empty."""
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+
 class Scratch:
     """Intermediate tables in a new folder that all executors share."""
 
@@ -101,3 +111,18 @@ def bounded_sample(df: DataFrame, by: str, size: int, seed: int) -> DataFrame:
         share = min(1.0, size / row["n"])
         wanted = F.when(F.col(by) == row[by], int(share * (1 << 30))).otherwise(wanted)
     return df.filter(F.col(by).isNotNull() & (draw < wanted)).dropDuplicates()
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, by: str, size: int, seed: int, key: str = "doc_id"
+) -> DataFrame:
+    """Documents of about ``size`` keys of each value of ``by`` in ``labels`` (key, by).
+
+    Keys are drawn from the labels alone, so that they are few enough to broadcast
+    at any size of the tables, and no text is shuffled but theirs. A key with
+    several rows in ``docs`` or ``labels`` brings one of its texts, the smallest.
+    """
+    drawn = bounded_sample(labels.filter(F.col(key).isNotNull()).select(key, by), by, size, seed)
+    drawn = drawn.select(F.col(key).alias("label_key"), F.col(by).alias("label"))
+    joined = docs.select(key, "text").join(F.broadcast(drawn), F.col(key) == F.col("label_key"))
+    return joined.groupBy("label_key").agg(F.min("label").alias(by), F.min("text").alias("text"))
