@@ -150,7 +150,8 @@ class Encoder:
         cut = [[(self._cut.findall(x), end) for x, end in self._pieces(t)] for t in texts]
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
-        new = list({w for text in cut for words, _ in text for w in words} - self._known.keys())
+        met = {w for text in cut for words, _ in text for w in words}
+        new = [w for w in met if w not in self._known]
         self._known.update(zip(new, merge_rounds(self._v, [w.encode() for w in new]), strict=True))
         known = self._known.__getitem__
         return [b"".join(b"".join(map(known, words)) + end for words, end in t) for t in cut]
