@@ -155,7 +155,8 @@ def apply_rules(
         F.col("content"),
     ]
     lines = stats.select(*keys, F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
-    frequent = frequent_lines(stats, limits).withColumnRenamed("host", "its_host")
+    # Written first: a join whose sides are both shuffled for it can split a hot line.
+    frequent = scratch.write(frequent_lines(stats, limits)).withColumnRenamed("host", "its_host")
     removed = (
         lines.select(*row, "x.lines", "x.line_words")
         .join(frequent, (F.col("host") == F.col("its_host")) & (F.col("lines") == F.col("line")))
