@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.batches import Scratch, bounded_sample
+from touchline.llm.batches import Scratch, labelled_sample
 
 #: Hashed words, labelled documents of each domain, and smoothing counts.
 SLOTS, FIT_ROWS, SMOOTHING = 1 << 14, 2000, 0.5
@@ -24,21 +24,20 @@ TOLERANCE, MOST_STEPS = 1e-4, 60
 
 
 def words_of(text: Column) -> Column:
-    """Slots, from 1, of the words between white space, in lower case."""
-    words = F.split(F.trim(F.lower(F.coalesce(text, F.lit("")))), r"\s+")
-    slots = F.transform(words, lambda w: (F.pmod(F.xxhash64(w), F.lit(SLOTS)) + 1).cast("int"))
-    return F.when(F.coalesce(text, F.lit("")).rlike(r"\S"), slots).otherwise(
-        F.array().cast("array<int>")
-    )
+    """Slots, from 1, of the words between spaces, tabs and line breaks, in lower case."""
+    spaced = F.lower(F.coalesce(text, F.lit("")))
+    for space in "\n\t\r":
+        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
+    words = F.array_remove(F.split(spaced, " "), "")
+    return F.transform(words, lambda w: (F.pmod(F.xxhash64(w), F.lit(SLOTS)) + 1).cast("int"))
 
 
-def word_weights(labelled: DataFrame, domains: list[str]) -> list[Column]:
+def word_weights(sample: DataFrame, domains: list[str]) -> list[Column]:
     """A constant array by slot for each domain: log probabilities of its words, less
-    those of the first domain. ``labelled`` has text and domain.
+    those of the first domain. ``sample`` has text and domain.
 
     Arrays have SLOTS numbers of four decimals, at any size of the tables.
     """
-    sample = bounded_sample(labelled.select("domain", "text"), "domain", FIT_ROWS, 8)
     counted = (
         sample.select("domain", F.explode(words_of(F.col("text"))).alias("slot"))
         .groupBy("slot")
@@ -51,7 +50,7 @@ def word_weights(labelled: DataFrame, domains: list[str]) -> list[Column]:
         F.log((F.coalesce(f"n{i}", F.lit(0)) + SMOOTHING) / F.lit(totals[i] + SMOOTHING * SLOTS))
         for i in range(len(domains))
     ]
-    slots = labelled.sparkSession.range(1, SLOTS + 1).withColumnRenamed("id", "at")
+    slots = sample.sparkSession.range(1, SLOTS + 1).withColumnRenamed("id", "at")
     rows = slots.join(counted, F.col("at") == F.col("slot"), "left").select(
         "at", *[(x - logs[0]).alias(f"w{i}") for i, x in enumerate(logs)]
     )
@@ -69,7 +68,7 @@ def word_weights(labelled: DataFrame, domains: list[str]) -> list[Column]:
 
 
 def with_posteriors(
-    docs: DataFrame, labelled: DataFrame, domains: list[str], scratch: Scratch
+    docs: DataFrame, labelled: DataFrame, domains: list[str], scratch: Scratch, key: str = "doc_id"
 ) -> DataFrame:
     """``docs`` with mix_tokens (words) and mix_p (posterior by domain), as a table.
 
@@ -80,7 +79,8 @@ def with_posteriors(
     counts = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.get(d, 0) + 1 for d in domains)
     prior = [math.log((counts.get(d, 0) + 1) / total) for d in domains]
-    weights = word_weights(labelled, domains)
+    sample = scratch.write(labelled_sample(docs, labelled, "domain", FIT_ROWS, 8, key))
+    weights = word_weights(sample, domains)
     counted = docs.withColumn("mix_words", words_of(F.col("text")))
 
     def score(i: int) -> Column:
@@ -113,28 +113,51 @@ def _sums(table: DataFrame, columns: list[Column]) -> list[float]:
 def fit_rates(table: DataFrame, targets: list[float]) -> Column:
     """The rate of a row of ``table`` as a column over mix_tokens and mix_p.
 
-    Steps go along the gradient of the squared misses, weighted with the inverse
-    of the domains' second moments; in this metric a step of 1 is the longest safe
-    one. Rates below 0 are raised to 0. Each step is one aggregation with as many
-    sums as domains; a rate is the chain of all steps so far, so that no rate is
-    ever stored. Rates start at 1 and stay there for domains already on target.
+    Steps go down the gradient of the squared misses, weighted with the inverse
+    second moments of the rows that can still move, those with a rate above 0:
+    in this metric a step of 1 is the longest safe one while none of them stops.
+    If a step makes the misses larger, the next one weights with the moments of
+    all rows, for which it is always safe. Rates below 0 are raised to 0. Each
+    step is one aggregation of a few sums. A rate is the chain of all steps so
+    far over an array of them, so no rate is ever stored. Rates start at 1 and
+    stay there if all domains are on target.
     """
     n = len(targets)
     mass = [F.col("mix_tokens") * F.element_at("mix_p", i + 1) for i in range(n)]
-    moments = _sums(table, [a * b for a in mass for b in mass])
-    inverse = np.linalg.pinv(np.array(moments).reshape(n, n), rcond=1e-10)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
     total = max(sum(targets), 1e-9)
-    rate = F.lit(1.0)
+    steps: list[list[float]] = []
+    everything, last = None, math.inf
+
+    def rate_after(steps: list[list[float]]) -> Column:
+        def move(rate: Column, step: Column) -> Column:
+            return F.greatest(
+                F.lit(0.0), rate - sum((x * step[i] for i, x in enumerate(mass)), F.lit(0.0))
+            )
+
+        if not steps:
+            return F.lit(1.0)
+        chain = F.array(*[F.array(*map(F.lit, step)) for step in steps])
+        return F.aggregate(chain, F.lit(1.0), move)
+
     for _ in range(MOST_STEPS):
-        misses = np.array(_sums(table, [rate * x for x in mass])) - np.array(targets)
-        if np.abs(misses).max() <= TOLERANCE * total:
+        current = table.withColumn("mix_rate", rate_after(steps))
+        free = F.when(F.col("mix_rate") > 0, 1.0).otherwise(0.0)
+        found = _sums(
+            current,
+            [F.col("mix_rate") * x for x in mass] + [free * mass[i] * mass[j] for i, j in pairs],
+        )
+        misses, moments = np.array(found[:n]) - np.array(targets), np.zeros((n, n))
+        for (i, j), value in zip(pairs, found[n:], strict=True):
+            moments[i, j] = moments[j, i] = value
+        everything = moments if everything is None else everything
+        most = float(np.abs(misses).max())
+        if most <= TOLERANCE * total:
             break
-        step = inverse @ misses
-        moved = rate
-        for x, s in zip(mass, step.tolist(), strict=True):
-            moved = moved - x * float(f"{s:.12g}")
-        rate = F.greatest(F.lit(0.0), moved)
-    return rate
+        metric = np.linalg.pinv(moments if most < last else everything, rcond=1e-10)
+        last = most
+        steps.append([float(f"{x:.12g}") for x in metric @ misses])
+    return rate_after(steps)
 
 
 def mix(
@@ -157,11 +180,8 @@ def mix(
     """
     domains = sorted(targets)
     docs = docs.drop("n_tokens", "posterior", "rate", "copies")
-    marks = labelled.filter(F.col("domain").isin(domains)).select(
-        F.col(key).alias("label_key"), "domain"
-    )
-    known = docs.select(key, "text").join(marks, F.col(key) == F.col("label_key"))
-    table = with_posteriors(docs, known.select("domain", "text"), domains, scratch)
+    marks = labelled.filter(F.col("domain").isin(domains)).select(key, "domain")
+    table = with_posteriors(docs, marks, domains, scratch, key)
     tokens = _sums(table, [F.col("mix_tokens")])[0]
     whole = sum(targets.values())
     rate = fit_rates(table, [targets[d] / whole * tokens for d in domains])
