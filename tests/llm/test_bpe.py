@@ -1,0 +1,95 @@
+"""Token ids against the tokenizers library, and the exact way back."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from touchline.llm.bpe import Encoder, Vocabulary, decode, encode_and_decode, load_vocabulary, merge_rounds  # noqa: E402
+
+PATH = P.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "\n", "a", "aaaa aaa aa", "a" * 5000, "ab" * 3000, " " * 3000, "\x00\x1c\x85",
+    "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "I'll we've it's 'S", "ǅʰ́Ⅷ½١ 漢字🙂",
+]
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return load_vocabulary(PATH)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    t = tokenizers.Tokenizer.from_file(PATH)
+    t.no_padding()
+    t.no_truncation()
+    return t
+
+
+def check(vocabulary, reference, texts):
+    ours = [np.frombuffer(x, "<u4").tolist() for x in Encoder(vocabulary).encode(texts)]
+    theirs = [x.ids for x in reference.encode_batch(texts, add_special_tokens=False)]
+    assert ours == theirs
+    back = [decode(vocabulary, np.array(x, np.int64)) for x in ours]
+    assert back == [reference.decode(x, skip_special_tokens=False) for x in ours] == texts
+
+
+def test_odd_texts(vocabulary, reference):
+    check(vocabulary, reference, ODD)
+
+
+def test_random_texts(vocabulary, reference):
+    rng = random.Random(1)
+    pool = "aabst  \n\t'd<|endoftext|>é漢🙂\u3000١½_-#\x85Ñ'll"
+    check(vocabulary, reference, ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(800)])
+
+
+def test_every_code_point(vocabulary, reference):
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    check(vocabulary, reference, ["".join(chars[i : i + 512]) for i in range(0, len(chars), 512)])
+
+
+def test_rounds_merge_the_lowest_rank_first():
+    """A vocabulary of a, b, c with the merges (a, a), (aa, a), (b, c), (a, bc)."""
+    size, pairs = 8, [(0, 0), (3, 0), (1, 2), (0, 5)]
+    keys = np.array([a * size + b for a, b in pairs], np.int64)
+    order = np.argsort(keys)
+    bytes_ = np.zeros(256, np.int64)
+    bytes_[[97, 98, 99]] = [0, 1, 2]
+    v = Vocabulary(bytes_, size, keys[order], order, np.array([3, 4, 5, 6])[order],
+                   np.zeros(0, np.uint8), np.zeros(0, np.int64), {})
+    words = [b"a", b"aa", b"aaa", b"aaaa", b"abc", b"aabc", b"bca", b"c"]
+    found = [np.frombuffer(x, "<u4").tolist() for x in merge_rounds(v, words)]
+    assert found == [[0], [3], [4], [3, 3], [6], [3, 5], [5, 0], [2]]
+
+
+def test_rows(docs, spark):
+    rows = [(1, "Hello world"), (2, None), (3, ""), (None, "x"), (1, "Hello world")]
+    frame = docs(rows).withColumnRenamed("lang", "ids")
+    found = sorted(map(tuple, encode_and_decode(frame, PATH, {"doc_id": "long"}).collect()), key=str)
+    assert [(r[0], r[1], r[3]) for r in found] == [
+        (1, 2, "Hello world"), (1, 2, "Hello world"), (2, 0, ""), (3, 0, ""), (None, 1, "x"),
+    ]
+    assert all(len(r[2]) == 4 * r[1] for r in found)
+    assert encode_and_decode(frame.limit(0), PATH, {"doc_id": "long"}).count() == 0
+
+
+def test_query_digests(spark, vocabulary, reference):
+    from touchline.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op10_bpe"](spark, folder).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        ids = reference.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()

@@ -180,7 +180,8 @@ def mix(
     """
     domains = sorted(targets)
     docs = docs.drop("n_tokens", "posterior", "rate", "copies")
-    marks = labelled.filter(F.col("domain").isin(domains)).select(key, "domain")
+    marks = labelled.filter(F.col(key).isNotNull() & F.col("domain").isin(domains))
+    marks = marks.select(key, "domain")
     table = with_posteriors(docs, marks, domains, scratch, key)
     tokens = _sums(table, [F.col("mix_tokens")])[0]
     whole = sum(targets.values())
