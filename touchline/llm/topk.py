@@ -26,6 +26,8 @@ BLOCK_ROWS, QUERY_ROWS = 1024, 2048
 TILE_BLOCKS, AT_ONCE = 4, 64
 #: Values up to here have exact products in doubles for up to 2**9 dimensions.
 EXACT = 1 << 22
+#: What rounding may add to a bound, as a share of the product of the lengths.
+ROUNDING = 1e-10
 
 
 def integer_vector(vector: Column, scale: int = 256) -> Column:
@@ -61,6 +63,7 @@ class Best:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
         self.ids, self.vectors, self.k = ids, vectors, k
         self._stats = [statistics(vectors, n) for n in RESOLUTIONS]
+        self._norms = np.linalg.norm(vectors, axis=1)
         self._found: list[list[tuple]] = [[] for _ in ids]
         self._least = np.full(len(ids), -np.inf)
 
@@ -72,7 +75,8 @@ class Best:
             ]
             self._found[q] = sorted(found)[: self.k]
             if len(self._found[q]) == self.k:
-                self._least[q] = -float(self._found[q][-1][0])
+                # The next smaller double, since a large score may be rounded.
+                self._least[q] = np.nextafter(-float(self._found[q][-1][0]), -np.inf)
 
     def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Take in a block of candidates."""
@@ -84,7 +88,8 @@ class Best:
         self, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, stats: list[np.ndarray]
     ) -> None:
         bound = self._stats[0][queries] @ stats[0].T
-        bound += 1e-9 * (1 + np.abs(bound))
+        norms = np.linalg.norm(vectors, axis=1)
+        bound += ROUNDING * (1 + np.outer(self._norms[queries], norms))
         bound[self.ids[queries][:, None] == ids[None, :]] = -np.inf
         # The most promising ones first, for a threshold that refuses the others.
         few = min(self.k, len(ids))
@@ -99,7 +104,8 @@ class Best:
         rows = queries[at]
         for mine, theirs in zip(self._stats[1:], stats[1:], strict=True):
             fine = np.einsum("ij,ij->i", mine[rows], theirs[own])
-            keep = fine + 1e-9 * (1 + np.abs(fine)) >= self._least[rows]
+            slack = ROUNDING * (1 + self._norms[rows] * norms[own])
+            keep = fine + slack >= self._least[rows]
             rows, own = rows[keep], own[keep]
         scores = _products(self.vectors[rows], vectors[own])
         keep = np.array(scores >= self._least[rows], bool)
@@ -153,7 +159,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     query with fewer candidates gets them all. Only vectors of equal length are
     compared; rows with a null id or vector take no part. Rows that repeat a
     candidate count each; rows that repeat a query's id are one query, with the
-    best of their scores. Scores beyond 64 bits are null.
+    best of their scores. Scores beyond 64 bits stop at their limits.
 
     Both tables are cut into blocks. Tiles of a few blocks of candidates and of one
     block of queries, more or less, are formed by a join on numbers dealt out on
@@ -199,7 +205,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
         columns = [
             pa.array([r[0] for r in found], pa.int64()),
             pa.array([r[1] for r in found], pa.int64()),
-            pa.array([r[2] if -limit <= r[2] < limit else None for r in found], pa.int64()),
+            pa.array([max(-limit, min(limit - 1, r[2])) for r in found], pa.int64()),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
