@@ -29,8 +29,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     prepare(spark)
     part = fold("doc_id", 3)
-    seen = docs.filter((part >= 0) & (part != 1))
-    model = fit_quality_model(seen, table(spark, sf_dir, "labels"))
+    seen = (part >= 0) & (part != 1)
+    labels = table(spark, sf_dir, "labels")
+    model = fit_quality_model(docs.filter(seen), labels.filter(seen))
     return score_quality(docs, model, carried=True).filter("predicted = 1").select(*docs.columns)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.batches import Rows, Work, bounded_sample, map_slices
+from touchline.llm.batches import Rows, Work, labelled_sample, map_slices
 
 #: Hashed terms, latent dimensions, labelled texts of each class, and voters.
 TERMS, LATENT, FIT_ROWS, VOTERS = 2048, 48, 1500, 15
@@ -37,13 +39,32 @@ class QualityModel:
     prior: float
 
 
-def _shape(word: str) -> str:
+def _run(m: regex.Match) -> str:
+    """One mark, or two, for a run of like characters."""
+    if m[1]:
+        return "AA"
+    if m[2]:
+        return "Aa" if m[2].isupper() else "a"
+    return "0" if m[3] else m[4]
+
+
+def shape(word: str) -> str:
     """A word without its letters: ``Abc###`` becomes ``Aa#``."""
-    marked = _RUNS.sub(
-        lambda m: "AA" if m[1] else ("Aa" if m[0][0].isupper() else "a") if m[2] else "0" if m[3] else m[4],
-        word[:64],
-    )
-    return marked
+    if word.isalpha() and len(word) > 1:
+        if word.islower():
+            return "a"
+        if word.isupper():
+            return "AA"
+        if word[1:].islower():
+            return "Aa"
+    return _RUNS.sub(_run, word[:64])
+
+
+def slot(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term) % TERMS
+
+
+WORD_AGAIN, LINE_AGAIN = slot("word again"), slot("line again")
 
 
 class Terms:
@@ -54,34 +75,35 @@ class Terms:
     """
 
     def __init__(self) -> None:
-        self._known: dict[str, tuple[int, int]] = {}
-
-    @staticmethod
-    def _slot(term: str) -> int:
-        return xxhash.xxh3_64_intdigest(term) % TERMS
-
-    def _word(self, word: str) -> tuple[int, int]:
-        return self._slot("w " + word.lower()), self._slot("s " + _shape(word))
+        self._known: dict[str, int] = {}
+        self._shapes: dict[str, int] = {}
+
+    def _word(self, word: str) -> int:
+        """Slots of the word and of its shape, as one number."""
+        form = shape(word)
+        if form not in self._shapes:
+            if len(self._shapes) > CACHE_WORDS:
+                self._shapes.clear()
+            self._shapes[form] = slot("s " + form)
+        return slot("w " + word.lower()) * TERMS + self._shapes[form]
 
     def count(self, text: str) -> np.ndarray:
-        out = np.zeros(TERMS, np.float32)
         words = text.split()
         if not words:
-            return out
+            return np.zeros(TERMS, np.float32)
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
-        counts = Counter(words)
-        for word in counts.keys() - self._known.keys():
-            self._known[word] = self._word(word)
-        slots = np.array([self._known[w] for w in counts])
-        times = np.fromiter(counts.values(), np.float32, len(counts))
-        np.add.at(out, slots[:, 0], times)
-        np.add.at(out, slots[:, 1], times)
-        again = sum(a == b for a, b in zip(words, words[1:], strict=False))
-        out[self._slot("word again")] += again
+        counts, known = Counter(words), self._known
+        for word in counts:
+            if word not in known:
+                known[word] = self._word(word)
+        slots = np.fromiter(map(known.__getitem__, counts), np.int64, len(counts))
+        times = np.fromiter(counts.values(), np.float64, len(counts))
+        out = np.bincount(slots // TERMS, times, TERMS) + np.bincount(slots % TERMS, times, TERMS)
+        out[WORD_AGAIN] += sum(map(eq, words, islice(words, 1, None)))
         lines = [x for x in text.split("\n") if x.strip()]
-        out[self._slot("line again")] += (len(lines) - len(set(lines))) * len(words) / len(lines)
-        return out
+        out[LINE_AGAIN] += (len(lines) - len(set(lines))) * len(words) / len(lines)
+        return out.astype(np.float32)
 
 
 def latent(weight: np.ndarray, axes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -100,10 +122,10 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
     counts of terms come to the driver. Without labels every score is 0.5.
     """
     marks = labels.filter("quality IN (0, 1)").select(
-        F.col(key).alias("label_key"), F.col("quality").cast("int").alias("label")
+        key, F.col("quality").cast("int").alias("label")
     )
-    known = docs.filter(F.col("text").isNotNull()).select(key, "text")
-    joined = known.join(marks, F.col(key) == F.col("label_key")).select(key, "label", "text")
+    known = docs.filter(F.col("text").isNotNull())
+    sample = labelled_sample(known, marks, "label", FIT_ROWS, 6, key)
 
     def setup() -> Work:
         terms = Terms()
@@ -120,7 +142,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
         return work
 
     shape = {"label": "int", "slots": "array<long>", "times": "array<double>"}
-    rows = map_slices(bounded_sample(joined, "label", FIT_ROWS, 6), setup, shape).collect()
+    rows = map_slices(sample, setup, shape).collect()
     rows = sorted((r["label"], tuple(r["slots"]), tuple(r["times"])) for r in rows)
     counts = np.zeros((len(rows), TERMS), np.float32)
     for out, (_, slots, times) in zip(counts, rows, strict=True):
@@ -133,7 +155,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     weighted = (np.sqrt(shares) * weight).astype(np.float64)
     _, axes = np.linalg.eigh(weighted.T @ weighted)
-    axes = np.ascontiguousarray(axes[:, ::-1][:, :LATENT])
+    weight = weight.astype(np.float32)
+    axes = np.ascontiguousarray(axes[:, ::-1][:, :LATENT], np.float32)
     return QualityModel(
         weight, axes, latent(weight, axes, counts), marks_of, float(marks_of.mean())
     )

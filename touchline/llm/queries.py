@@ -106,8 +106,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     part = fold("doc_id", 3)
-    seen = docs.filter((part >= 0) & (part != 1))
-    model = fit_quality_model(seen, table(spark, sf_dir, "labels"))
+    seen = (part >= 0) & (part != 1)
+    labels = table(spark, sf_dir, "labels")
+    model = fit_quality_model(docs.filter(seen), labels.filter(seen))
     return score_quality(docs, model).select(
         "doc_id", (part == 1).alias("held_out"), "score", "predicted"
     )
