@@ -90,8 +90,11 @@ def fold(key: Column | str, folds: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds, F.lit(-1))
 
 
-def bounded_sample(df: DataFrame, by: str, size: int, seed: int) -> DataFrame:
-    """About ``size`` distinct rows of each value of ``by``, chosen by a hash of the row.
+def bounded_sample(
+    df: DataFrame, by: str, size: int, seed: int, total: int | None = None
+) -> DataFrame:
+    """About ``size`` distinct rows of each value of ``by``, chosen by a hash of the row,
+    or fewer if that would make more than ``total`` rows.
 
     All rows are counted first (combined before the shuffle); a value with fewer
     rows than ``size`` keeps them all. At most 256 values are kept, the most
@@ -105,6 +108,8 @@ def bounded_sample(df: DataFrame, by: str, size: int, seed: int) -> DataFrame:
         .limit(256)
         .collect()
     )
+    if total is not None and counts:
+        size = min(size, max(1, total // len(counts)))
     draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 30))
     wanted = F.lit(0)
     for row in counts:

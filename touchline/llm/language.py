@@ -20,8 +20,9 @@ from touchline.llm.batches import Rows, Work, bounded_sample, map_slices
 
 UNKNOWN = "und"
 NGRAM = 3
-#: Rows per language that are landmarks, and that the regression is fitted on.
-LANDMARKS, FIT_ROWS = 48, 400
+#: Rows per language that are landmarks, and that the regression is fitted on, and
+#: landmarks of all languages together.
+LANDMARKS, FIT_ROWS, MOST_LANDMARKS = 48, 400, 1000
 RIDGE = 1e-3
 #: Characters of a text handled at once; the sets of its parts are united.
 PART = 1 << 18
@@ -76,8 +77,8 @@ def presence(grams: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
 def fit_language_model(docs: DataFrame, labels: str = "lang", key: str = "doc_id") -> LanguageModel:
     """Fit on a bounded sample of the labelled rows of ``docs``.
 
-    At most about LANDMARKS + FIT_ROWS texts of each of the 256 most frequent
-    languages are used. Landmarks come to the driver as sets of n-grams, the
+    At most about LANDMARKS (MOST_LANDMARKS in all) and FIT_ROWS texts of each of the
+    256 most frequent languages are used, whole. Landmarks come to the driver as sets of n-grams, the
     others only as their kernels with the landmarks. Without a usable row the
     model knows no language.
     """
@@ -94,7 +95,7 @@ def fit_language_model(docs: DataFrame, labels: str = "lang", key: str = "doc_id
 
         return work
 
-    chosen = bounded_sample(usable, labels, LANDMARKS, 1)
+    chosen = bounded_sample(usable, labels, LANDMARKS, 1, MOST_LANDMARKS)
     rows = map_slices(chosen, landmark_setup, shape).collect()
     own = sorted((r["label"], tuple(r["grams"])) for r in rows)
     landmarks = [np.array(g, np.int64).view(np.uint64) for _, g in own]
