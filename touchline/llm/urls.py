@@ -193,18 +193,11 @@ def judge_urls(
     hosts = candidate_keys(F.col("host"), F.lit(""), [0])
     parts = scratch.write(parts.withColumn("hosts", hosts))
     named = {r.host + r.path: r.action for r in rules}
-    wanted = spark.createDataFrame([(x,) for x in named], "key string") if named else None
-    no_keys = parts.limit(0).select(F.lit("").alias("key"))
-    rule_filter = build_cascade(
-        wanted if wanted is not None else no_keys,
-        parts.select(F.explode("keys").alias("key")),
-        scratch,
-    )
-    host_filter = build_cascade(
-        blocked if blocked is not None else no_keys,
-        parts.select(F.explode("hosts").alias("key")) if blocked is not None else no_keys,
-        scratch,
-    )
+    wanted = spark.createDataFrame([(x,) for x in named], "key string")
+    rule_filter = build_cascade(wanted, parts.select(F.explode("keys").alias("key")), scratch)
+    host_filter = Cascade([])
+    if blocked is not None:
+        host_filter = build_cascade(blocked, parts.select(F.explode("hosts").alias("key")), scratch)
     shared = spark.sparkContext.broadcast((rule_filter, host_filter))
 
     def hashes(name: str, seed: int) -> Column:
@@ -239,7 +232,7 @@ def judge_urls(
     hashed = parts.select("page_id", "host", "path", "keys", *[
         hashes(name, seed) for name in ("keys", "hosts") for seed in (1, 2)
     ])
-    judged = map_slices(hashed, setup, shape | {}).withColumnRenamed("page_id", key)
+    judged = map_slices(hashed, setup, shape).withColumnRenamed("page_id", key)
     verdict: Column = F.when(F.col("listed"), "block").otherwise("allow")
     for name, action in named.items():
         verdict = F.when(F.col("rule") == name, action).otherwise(verdict)
