@@ -467,6 +467,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = src.PathStore(f"{scratch}/staging")
     src.load_all(spark, raw, staging, AS_OF)
     src.load_all(spark, raw, staging, AS_OF)
+    src.PathStore(scratch).discard(spark, "raw")
     tables = [as_rows(name, staging.read(spark, name)) for name in src.STAGING]
     return reduce(DataFrame.unionByName, tables)
 
@@ -508,6 +509,8 @@ def refresh_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
     marts = src.PathStore(f"{scratch}/marts")
     written = plans.run_refresh(spark, raw, src.PathStore(f"{scratch}/staging"), marts, AS_OF)
+    for used in ("raw", "staging"):
+        src.PathStore(scratch).discard(spark, used)
     tables = [as_rows(load.table, marts.read(spark, load.table)) for load in written.marts]
     return reduce(DataFrame.unionByName, tables)
 
@@ -539,6 +542,7 @@ def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = src.PathStore(f"{scratch}/staging")
     specs = {name: src.STAGING[name] for name in ("clubs", "club_games")}
     src.load_all(spark, raw, staging, AS_OF, specs)
+    src.PathStore(scratch).discard(spark, "raw")
     kinds = []
     for name in specs:
         loaded = staging.read(spark, name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,11 +51,14 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder for intermediate tables, on storage all executors share.
 
     It lies under ``spark.checkpoint.dir``. Only a local session, whose
-    executors share the machine, may do without that setting.
+    executors share the machine, may do without that setting; its folders go with
+    the process. Folders on shared storage stay until their owner drops them.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/touchline-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="touchline-")
+    folder = tempfile.mkdtemp(prefix="touchline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
