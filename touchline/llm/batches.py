@@ -42,6 +42,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, step)
 
 
+def as_arrow(values: Any, kind: pa.DataType) -> pa.Array:
+    """Values as an Arrow array; a column that is carried along may be of a narrower type."""
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 def map_slices(df: DataFrame, setup: Callable[[], Work], schema: dict[str, str]) -> DataFrame:
     """Apply ``setup()``, called once in each task, to slices of the rows.
 
@@ -56,8 +61,7 @@ def map_slices(df: DataFrame, setup: Callable[[], Work], schema: dict[str, str])
             for part in _slices(batch):
                 columns = work(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[field.name], type=field.type) for field in arrow],
-                    schema=arrow,
+                    [as_arrow(columns[field.name], field.type) for field in arrow], schema=arrow
                 )
 
     return df.mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
