@@ -19,6 +19,9 @@ from touchline.llm.batches import Scratch, labelled_sample
 
 #: Hashed words, labelled documents of each domain, and smoothing counts.
 SLOTS, FIT_ROWS, SMOOTHING = 1 << 14, 2000, 0.5
+#: Standard errors that a word's shares of documents must be apart, and logs that its
+#: weight must have, to count.
+CERTAIN, LEAST_WEIGHT = 5.0, 1.0
 #: Share of the total that a domain may miss its target by; most steps.
 TOLERANCE, MOST_STEPS = 1e-4, 60
 
@@ -32,29 +35,37 @@ def words_of(text: Column) -> Column:
     return F.transform(words, lambda w: (F.pmod(F.xxhash64(w), F.lit(SLOTS)) + 1).cast("int"))
 
 
-def word_weights(sample: DataFrame, domains: list[str]) -> list[Column]:
-    """A constant array by slot for each domain: log probabilities of its words, less
-    those of the first domain. ``sample`` has text and domain.
+def word_weights(sample: DataFrame, domains: list[str]) -> tuple[list[Column], list[float]]:
+    """A constant array by slot for each domain, and a constant.
 
-    Arrays have SLOTS numbers of four decimals, at any size of the tables.
+    Summed over the distinct words of a text, and with the constant added, they give
+    the log odds of the domain against the first one by the words that the text
+    holds, and lacks. Words whose share of documents differs little, or by chance,
+    have 0. ``sample`` has text and domain. Arrays have SLOTS numbers of four
+    decimals, at any size of the tables.
     """
+    found = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     counted = (
-        sample.select("domain", F.explode(words_of(F.col("text"))).alias("slot"))
+        sample.select("domain", F.explode(F.array_distinct(words_of(F.col("text")))).alias("slot"))
         .groupBy("slot")
         .agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(domains)])
     )
-    totals = counted.agg(*[
-        F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(domains))
-    ]).first()
-    logs = [
-        F.log((F.coalesce(f"n{i}", F.lit(0)) + SMOOTHING) / F.lit(totals[i] + SMOOTHING * SLOTS))
-        for i in range(len(domains))
-    ]
+    hits = [F.coalesce(f"n{i}", F.lit(0)) + SMOOTHING for i in range(len(domains))]
+    sizes = [found.get(d, 0) + 2 * SMOOTHING for d in domains]
+    shares = [hit / F.lit(n) for hit, n in zip(hits, sizes, strict=True)]
+    columns = []
+    for i, (hit, share) in enumerate(zip(hits, shares, strict=True)):
+        held = F.log(share / shares[0])
+        lacked = F.log((1 - share) / (1 - shares[0]))
+        both = (hit + hits[0]) / F.lit(sizes[i] + sizes[0])
+        error = F.sqrt(both * (1 - both) * (1 / sizes[i] + 1 / sizes[0]))
+        apart = F.abs(share - shares[0]) > CERTAIN * error
+        sure = apart & (F.abs(held) > LEAST_WEIGHT)
+        columns.append(F.when(sure, held - lacked).otherwise(0.0).alias(f"w{i}"))
+        columns.append(F.when(sure, lacked).otherwise(0.0).alias(f"b{i}"))
     slots = sample.sparkSession.range(1, SLOTS + 1).withColumnRenamed("id", "at")
-    rows = slots.join(counted, F.col("at") == F.col("slot"), "left").select(
-        "at", *[(x - logs[0]).alias(f"w{i}") for i, x in enumerate(logs)]
-    )
-    row = rows.agg(*[
+    rows = slots.join(counted, F.col("at") == F.col("slot"), "left").select("at", *columns)
+    texts = [
         F.array_join(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("at", F.round(f"w{i}", 4).alias("w")))),
@@ -63,32 +74,39 @@ def word_weights(sample: DataFrame, domains: list[str]) -> list[Column]:
             ",",
         ).alias(f"w{i}")
         for i in range(len(domains))
-    ]).first()
-    return [F.split(F.lit(row[f"w{i}"]), ",").cast("array<double>") for i in range(len(domains))]
+    ]
+    row = rows.agg(*texts, *[F.sum(f"b{i}").alias(f"b{i}") for i in range(len(domains))]).first()
+    arrays = [F.split(F.lit(row[f"w{i}"]), ",").cast("array<double>") for i in range(len(domains))]
+    return arrays, [row[f"b{i}"] for i in range(len(domains))]
 
 
 def with_posteriors(
     docs: DataFrame, labelled: DataFrame, domains: list[str], scratch: Scratch, key: str = "doc_id"
-) -> DataFrame:
-    """``docs`` with mix_tokens (words) and mix_p (posterior by domain), as a table.
+) -> tuple[DataFrame, list[bool]]:
+    """``docs`` with mix_tokens (words) and mix_p (posterior by domain), as a table, and
+    which domains have labelled documents (all of them, if none has).
 
-    The log probabilities of the words are summed and divided by the root of their
-    number, since neighbouring words are not independent; then comes the prior,
-    each domain's share of all labelled documents.
+    The weights of the distinct words are added to the prior, each domain's share of all
+    labelled documents.
     """
     counts = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    present = [d in counts or not counts for d in domains]
     total = sum(counts.get(d, 0) + 1 for d in domains)
-    prior = [math.log((counts.get(d, 0) + 1) / total) for d in domains]
+    prior = [
+        math.log((counts.get(d, 0) + 1) / total) if there else -1e6
+        for d, there in zip(domains, present, strict=True)
+    ]
     sample = scratch.write(labelled_sample(docs, labelled, "domain", FIT_ROWS, 8, key))
-    weights = word_weights(sample, domains)
+    weights, constants = word_weights(sample, domains)
     counted = docs.withColumn("mix_words", words_of(F.col("text")))
 
     def score(i: int) -> Column:
         summed = F.aggregate(
-            "mix_words", F.lit(0.0), lambda total, w: total + F.element_at(weights[i], w)
+            F.array_distinct("mix_words"),
+            F.lit(0.0),
+            lambda total, w: total + F.element_at(weights[i], w),
         )
-        size = F.greatest(F.lit(1.0), F.sqrt(F.size("mix_words").cast("double")))
-        return summed / size + prior[i]
+        return summed + prior[i] + constants[i]
 
     scores = [F.lit(prior[0])] + [score(i) for i in range(1, len(domains))]
     scored = counted.withColumn("mix_scores", F.array(*scores))
@@ -96,13 +114,14 @@ def with_posteriors(
     raised = F.transform("mix_scores", lambda x: F.exp(x - highest))
     scored = scored.withColumn("mix_raised", raised)
     summed = F.aggregate("mix_raised", F.lit(0.0), lambda a, x: a + x)
-    return scratch.write(
+    table = scratch.write(
         scored.select(
             *docs.columns,
             F.size("mix_words").cast("long").alias("mix_tokens"),
             F.transform("mix_raised", lambda x: x / summed).alias("mix_p"),
         )
     )
+    return table, present
 
 
 def _sums(table: DataFrame, columns: list[Column]) -> list[float]:
@@ -176,16 +195,17 @@ def mix(
     or up by a hash of key and text, so that its expectation is the rate. Columns
     of these names are replaced. Texts that are null or without words have no
     tokens, the prior as posterior, and a rate of 1. Repeated rows get the same
-    rate. Without labelled rows all posteriors are equal.
+    rate. A domain without labelled documents has posterior and target 0, and the
+    others share its target; without any labelled documents all posteriors are equal.
     """
     domains = sorted(targets)
     docs = docs.drop("n_tokens", "posterior", "rate", "copies")
     marks = labelled.filter(F.col(key).isNotNull() & F.col("domain").isin(domains))
     marks = marks.select(key, "domain")
-    table = with_posteriors(docs, marks, domains, scratch, key)
+    table, present = with_posteriors(docs, marks, domains, scratch, key)
     tokens = _sums(table, [F.col("mix_tokens")])[0]
-    whole = sum(targets.values())
-    rate = fit_rates(table, [targets[d] / whole * tokens for d in domains])
+    wanted = [targets[d] if there else 0.0 for d, there in zip(domains, present, strict=True)]
+    rate = fit_rates(table, [w / (sum(wanted) or 1.0) * tokens for w in wanted])
     draw = F.pmod(F.xxhash64(F.lit(8), key, "text"), F.lit(1 << 30)) / (1 << 30)
     mixed = table.withColumn("rate", rate)
     copies = F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)
