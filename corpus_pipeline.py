@@ -14,10 +14,13 @@ from touchline.llm.lines import dedup_lines
 from touchline.llm.mixing import mix
 from touchline.llm.neardup import near_duplicates
 from touchline.llm.quality import fit_quality_model, score_quality
-from touchline.llm.queries import MIX_TARGETS, VOCABULARY, domains, prepare, table
+from touchline.llm.queries import VOCABULARY, domains, prepare, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Low quality is gone by then, so that only toxic and other documents are mixed.
+TARGETS = {"clean": 0.95, "toxic": 0.05}
+
 # No SQL: classifier, alignments and rates have no counterpart there.
 ORACLE_SQL = None
 
@@ -61,7 +64,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its rate says."""
     prepare(spark)
     marks = domains(table(spark, sf_dir, "labels"))
-    mixed = mix(docs, marks, MIX_TARGETS, Scratch(spark))
+    mixed = mix(docs, marks, TARGETS, Scratch(spark))
     copy = F.explode(F.sequence(F.lit(1), F.col("copies")))
     return mixed.filter("copies > 0").withColumn("copy", copy).select(*docs.columns)
 
