@@ -167,7 +167,10 @@ def repeated_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     lines = scratch.write(map_slices(docs.select("id", "content", "text"), _read_lines, LINES))
     marks = scratch.write(map_slices(lines, _fingerprints, PRINTS))
-    twice = marks.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
+    # Written first: a join whose sides are both shuffled for it can split a hot key.
+    twice = scratch.write(
+        marks.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
+    )
     met = (
         marks.join(twice, "mark")
         .groupBy(F.col("id"), F.col("content"))
@@ -179,7 +182,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # A match is extended over all windows that hold its fingerprint.
     found = scratch.write(map_slices(joined, _extend, WINDOWS))
     place = F.struct("id", "content", "first")
-    earliest = (
+    earliest = scratch.write(
         found.groupBy("w1", "w2")
         .agg(F.count("*").alias("n"), F.min(place).alias("earliest"))
         .filter("n > 1")

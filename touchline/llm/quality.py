@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.batches import Rows, Work, labelled_sample, map_slices
+from touchline.llm.batches import Rows, Work, labelled_sample, lists, map_slices
 
 #: Hashed terms, latent dimensions, labelled texts of each class, and voters.
 TERMS, LATENT, FIT_ROWS, VOTERS = 2048, 48, 1500, 15
@@ -142,12 +142,16 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
         return work
 
     shape = {"label": "int", "slots": "array<long>", "times": "array<double>"}
-    rows = map_slices(sample, setup, shape).collect()
-    rows = sorted((r["label"], tuple(r["slots"]), tuple(r["times"])) for r in rows)
+    found = map_slices(sample, setup, shape).toArrow().combine_chunks()
+    columns = [x.combine_chunks() for x in found.columns]
+    labels_of, slots, times = columns[0].to_numpy(), lists(columns[1]), lists(columns[2])
+    rows = sorted(
+        range(len(slots)), key=lambda i: (labels_of[i], slots[i].tobytes(), times[i].tobytes())
+    )
     counts = np.zeros((len(rows), TERMS), np.float32)
-    for out, (_, slots, times) in zip(counts, rows, strict=True):
-        out[list(slots)] = times
-    marks_of = np.array([label for label, _, _ in rows], np.float32)
+    for out, i in zip(counts, rows, strict=True):
+        out[slots[i]] = times[i]
+    marks_of = labels_of[rows].astype(np.float32)
     if not rows:
         none = np.zeros((0, LATENT), np.float32)
         return QualityModel(np.ones(TERMS), np.zeros((TERMS, LATENT)), none, marks_of, 0.5)
