@@ -26,6 +26,8 @@ BLOCK_ROWS, QUERY_ROWS = 1024, 2048
 TILE_BLOCKS, AT_ONCE = 4, 64
 #: Values up to here have exact products in doubles for up to 2**9 dimensions.
 EXACT = 1 << 22
+#: Share of a block from which on it is cheaper to multiply it as a whole.
+DENSE = 0.02
 #: What rounding may add to a bound, as a share of the product of the lengths.
 ROUNDING = 1e-10
 
@@ -49,9 +51,13 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(columns, axis=1) if columns else np.zeros((len(vectors), 1))
 
 
+def exact_in_doubles(a: np.ndarray, b: np.ndarray) -> bool:
+    return max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) <= EXACT
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of ``a`` with those of ``b``, pair by pair."""
-    if max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) <= EXACT:
+    if exact_in_doubles(a, b):
         return np.einsum("ij,ij->i", a, b)
     exact = [sum(int(x) * int(y) for x, y in zip(r, s, strict=True)) for r, s in zip(a, b, strict=True)]
     return np.array(exact, object)
@@ -68,12 +74,11 @@ class Best:
         self._least = np.full(len(ids), -np.inf)
 
     def _add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        for q in np.unique(rows).tolist():
-            mine = rows == q
-            found = self._found[q] + [
-                (-int(s), int(i)) for s, i in zip(scores[mine], ids[mine], strict=True)
-            ]
-            self._found[q] = sorted(found)[: self.k]
+        new: dict[int, list[tuple]] = {}
+        for q, i, s in zip(rows.tolist(), ids.tolist(), scores.tolist(), strict=True):
+            new.setdefault(q, []).append((-int(s), i))
+        for q, found in new.items():
+            self._found[q] = sorted(self._found[q] + found)[: self.k]
             if len(self._found[q]) == self.k:
                 # The next smaller double, since a large score may be rounded.
                 self._least[q] = np.nextafter(-float(self._found[q][-1][0]), -np.inf)
@@ -100,15 +105,28 @@ class Best:
         rows = queries[at]
         self._add(rows, ids[own], _products(self.vectors[rows], vectors[own]))
         bound[at, own] = -np.inf
-        at, own = np.nonzero((bound >= self._least[queries][:, None]) & (bound > -np.inf))
-        rows = queries[at]
+        alive = (bound >= self._least[queries][:, None]) & (bound > -np.inf)
         for mine, theirs in zip(self._stats[1:], stats[1:], strict=True):
-            fine = np.einsum("ij,ij->i", mine[rows], theirs[own])
-            slack = ROUNDING * (1 + self._norms[rows] * norms[own])
-            keep = fine + slack >= self._least[rows]
-            rows, own = rows[keep], own[keep]
-        scores = _products(self.vectors[rows], vectors[own])
-        keep = np.array(scores >= self._least[rows], bool)
+            if alive.mean() > DENSE:
+                fine = mine[queries] @ theirs.T
+                fine += ROUNDING * (1 + np.outer(self._norms[queries], norms))
+                alive &= fine >= self._least[queries][:, None]
+            else:
+                at, own = np.nonzero(alive)
+                fine = np.einsum("ij,ij->i", mine[queries[at]], theirs[own])
+                fine += ROUNDING * (1 + self._norms[queries[at]] * norms[own])
+                alive[at, own] = fine >= self._least[queries[at]]
+        at, own = np.nonzero(alive)
+        rows = queries[at]
+        if alive.mean() > DENSE and exact_in_doubles(self.vectors[queries], vectors):
+            products = np.where(alive, self.vectors[queries] @ vectors.T, -np.inf)
+            # Only the k best of each query, and their equals, can be among the best.
+            kth = np.partition(products, -few, axis=1)[:, -few]
+            scores = products[at, own]
+            keep = scores >= np.maximum(kth[at], self._least[rows])
+        else:
+            scores = _products(self.vectors[rows], vectors[own])
+            keep = np.array(scores >= self._least[rows], bool)
         self._add(rows[keep], ids[own[keep]], scores[keep])
 
     def rows(self) -> list[tuple[int, int, int]]:
