@@ -1,7 +1,8 @@
 """Operators for text corpora: cleaning, deduplication, filtering, mixing, tokens.
 
 Nothing else in the library imports this package. Its functions travel to the
-executors by value, so that only the driver needs the package installed.
+executors by value, so that only the driver needs the package installed. What is
+broadcast is made of plain values for the same reason.
 """
 
 import sys

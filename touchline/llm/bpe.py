@@ -182,10 +182,10 @@ def encode_and_decode(docs: DataFrame, path: str, kept: dict[str, str]) -> DataF
     empty: no ids, empty decoded text. Each row is encoded by itself, so repeated
     rows give repeated results and an empty table gives none.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    vocabulary = docs.sparkSession.sparkContext.broadcast(vars(load_vocabulary(path)))
     names = tuple(kept)
     return map_slices(
         docs.select(*names, "text"),
-        lambda: _setup(lambda: vocabulary.value, names),
+        lambda: _setup(lambda: Vocabulary(**vocabulary.value), names),
         kept | SCHEMA,
     )

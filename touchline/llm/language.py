@@ -139,10 +139,10 @@ def predict_language(docs: DataFrame, model: LanguageModel, key: str = "doc_id")
     languages get ``und`` and 0. Equal scores go to the first language by name.
     Rows are scored one by one; only ``text`` and ``key`` are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def setup() -> Work:
-        model = shared.value
+        model = LanguageModel(**shared.value)
 
         def work(batch: pa.RecordBatch) -> Rows:
             texts = batch.column("text").to_pylist()

@@ -190,13 +190,13 @@ def score_quality(
     names score and predicted. Null and empty texts get the share of label 1 among
     the labelled texts. Rows are scored one by one, and repeated rows repeat.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     rows = docs.drop("score", "predicted") if carried else docs.select(key, "text")
     scored = rows.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     names = scored.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms = shared.value, Terms()
+        model, terms = QualityModel(**shared.value), Terms()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             scores = np.full(len(texts), model.prior)

@@ -198,13 +198,13 @@ def judge_urls(
     host_filter = Cascade([])
     if blocked is not None:
         host_filter = build_cascade(blocked, parts.select(F.explode("hosts").alias("key")), scratch)
-    shared = spark.sparkContext.broadcast((rule_filter, host_filter))
+    shared = spark.sparkContext.broadcast((rule_filter.levels, host_filter.levels))
 
     def hashes(name: str, seed: int) -> Column:
         return F.transform(name, lambda x: F.xxhash64(F.lit(seed), x)).alias(f"{name}_{seed}")
 
     def setup() -> Work:
-        cascades = shared.value
+        cascades = [Cascade(levels) for levels in shared.value]
 
         def first(batch: pa.RecordBatch, name: str, cascade: Cascade) -> np.ndarray:
             """Number, from 1, of the first listed key of each row; 0 for none."""
