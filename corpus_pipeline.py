@@ -39,9 +39,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeats of runs; one left without a word goes."""
+    """Documents without later repeats of runs of words; one left without a word goes."""
     prepare(spark)
-    cleaned = dedup_lines(docs, Scratch(spark), removed="n_removed_lines")
+    cleaned = dedup_lines(docs, Scratch(spark), removed="n_removed_lines", within=True)
     emptied = (F.col("n_removed_lines") > 0) & ~F.col("text").rlike(r"\S")
     return cleaned.filter(~emptied).select(*docs.columns)
 

@@ -120,3 +120,57 @@ def test_windows_and_minima_against_the_definition():
         assert found == wanted
         for a, b, m in zip(first, last, minima(hashes, first, last), strict=True):
             assert m == max(i for i in range(a, b + 1) if hashes[i] == hashes[a : b + 1].min())
+
+
+def brute_words(rows, least):
+    """Kept words of each row: a word goes with every window that also stands earlier."""
+    seqs = {i: (t or "").split() for i, t in rows}
+    order = sorted(seqs, key=lambda i: (i is not None, i or 0))
+    seen, kept = set(), {}
+    for i in order:
+        gone = set()
+        for a in range(len(seqs[i]) - least + 1):
+            window = tuple(seqs[i][a : a + least])
+            if window in seen:
+                gone.update(range(a, a + least))
+            seen.add(window)
+        kept[i] = [w for n, w in enumerate(seqs[i]) if n not in gone]
+    return kept
+
+
+def test_words_within_lines_against_all_windows(docs, scratch, monkeypatch):
+    rng = random.Random(13)
+    for least in (5, 6):
+        monkeypatch.setattr(L, "MIN_WORDS", least)
+        monkeypatch.setattr(L.without_words, "__defaults__", (least,))
+        parts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (1, 2, 3, 5, 8, 13)] + ["\n", " \n\t"]
+        rows = [(i, " ".join(rng.choices(parts, k=rng.randint(0, 9)))) for i in [None, *range(60)]]
+        rows += [(99, rows[7][1]), (100, rows[7][1])]
+        found = dedup_lines(docs(rows), scratch, within=True).collect()
+        assert {r.doc_id: r.text.split() for r in found} == brute_words(rows, least)
+        given = dict(rows)
+        assert all((r.n_removed_lines > 0) == (r.text != given[r.doc_id]) for r in found)
+        assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_passages_that_start_and_end_within_a_line(docs, scratch):
+    rng = random.Random(14)
+    words = passage(rng, 6).split()[:70]
+    first = " ".join(words[:30]) + "\n" + " ".join(words[30:])
+    # Other line breaks, with words of its own before and after it in the same lines.
+    second = "Own  start " + " ".join(words[:41]) + "\n\n" + " ".join(words[41:]) + "\town end \nlast"
+    middle = f" a {' '.join(words)} b\tc "
+    rows = [(1, "Before. " + first + " after"), (2, second), (3, middle), (4, " ".join(words[:49])), (5, None)]
+    assert dedup_lines(docs(rows), scratch).filter("n_removed_lines > 0").count() == 0
+    found = {r.doc_id: (r.text, r.n_removed_lines) for r in dedup_lines(docs(rows), scratch, within=True).collect()}
+    assert found == {1: (rows[0][1], 0), 2: ("Own  start\n\nown end \nlast", 2), 3: (" a b\tc ", 1),
+                     4: (rows[3][1], 0), 5: (None, 0)}
+
+
+def test_the_query_takes_out_words_within_lines(spark, docs, tmp_path):
+    from touchline.llm.queries import QUERIES
+
+    shared = passage(random.Random(15), 5).replace("\n", " ")
+    docs([(1, f"one {shared} two"), (2, f"three {shared} four")]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.text for r in QUERIES["op2_line_dedup"](spark, str(tmp_path)).collect()}
+    assert found == {1: f"one {shared} two", 2: "three four"}

@@ -81,7 +81,7 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, Scratch(spark))
+    return dedup_lines(docs, Scratch(spark), within=True)
 
 
 @query
