@@ -117,3 +117,16 @@ def test_only_dataframe_functions_run(spark, docs, scratch):
     frame, marks, _ = corpus(spark, docs, random.Random(4), 60)
     plan = plan_of(mix(frame, marks, {"aa": 1, "bb": 1}, scratch))
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "MapIn"))
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    import warnings
+
+    schema = "mix_tokens bigint, mix_p array<double>"
+    apart = spark.createDataFrame([(10, [1.0, 0.0]), (10, [0.0, 1.0])], schema)
+    alike = spark.createDataFrame([(10, [0.5, 0.5])] * 2, schema)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        fit_rates(apart, [15.0, 5.0])
+    with pytest.warns(RuntimeWarning, match=r"miss their targets by -5, \+5 of 20 tokens"):
+        fit_rates(alike, [15.0, 5.0])

@@ -9,6 +9,7 @@ the documents, none negative, whose expected tokens by domain meet the targets.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
@@ -139,7 +140,8 @@ def fit_rates(table: DataFrame, targets: list[float]) -> Column:
     all rows, for which it is always safe. Rates below 0 are raised to 0. Each
     step is one aggregation of a few sums. A rate is the chain of all steps so
     far over an array of them, so no rate is ever stored. Rates start at 1 and
-    stay there if all domains are on target.
+    stay there if all domains are on target. Where they are not after the last step, as
+    with targets out of reach, a warning gives what each domain still misses.
     """
     n = len(targets)
     mass = [F.col("mix_tokens") * F.element_at("mix_p", i + 1) for i in range(n)]
@@ -159,7 +161,7 @@ def fit_rates(table: DataFrame, targets: list[float]) -> Column:
         chain = F.array(*[F.array(*map(F.lit, step)) for step in steps])
         return F.aggregate(chain, F.lit(1.0), move)
 
-    for _ in range(MOST_STEPS):
+    while True:
         current = table.withColumn("mix_rate", rate_after(steps))
         free = F.when(F.col("mix_rate") > 0, 1.0).otherwise(0.0)
         found = _sums(
@@ -173,6 +175,15 @@ def fit_rates(table: DataFrame, targets: list[float]) -> Column:
         most = float(np.abs(misses).max())
         if most <= TOLERANCE * total:
             break
+        if len(steps) == MOST_STEPS:
+            left = ", ".join(f"{x:+.6g}" for x in misses)
+            warnings.warn(
+                f"after {MOST_STEPS} steps the domains miss their targets by {left} of "
+                f"{total:.6g} tokens",
+                RuntimeWarning,
+                stacklevel=2,
+            )
+            break
         metric = np.linalg.pinv(moments if most < last else everything, rcond=1e-10)
         last = most
         steps.append([float(f"{x:.12g}") for x in metric @ misses])
