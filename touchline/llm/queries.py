@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +13,7 @@ from touchline.llm.batches import Scratch, fold
 from touchline.llm.bpe import encode_and_decode
 from touchline.llm.language import fit_language_model, predict_language
 from touchline.llm.lines import dedup_lines
+from touchline.llm.merkle import build_manifest, proof_digest
 from touchline.llm.mixing import mix
 from touchline.llm.neardup import near_duplicates
 from touchline.llm.quality import fit_quality_model, score_quality
@@ -164,6 +166,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(fold("doc_id", 3) == 0, lowered).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents")
+    return build_manifest(docs, Scratch(spark), claimed={"text": tampered}).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": """
         WITH parts AS (
@@ -212,4 +230,89 @@ ORACLE: dict[str, str] = {
         FROM scored
         QUALIFY rank <= 5
     """,
+    "op11_merkle": """
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(
+                       list_concat([i], range(8)),
+                       lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+                   )) AS t
+        ), hashed AS (
+            SELECT doc_id, lang, source, n_chars, text,
+                   xor(4294967295, list_reduce(
+                       list_concat([4294967295],
+                                   list_transform(string_split(doc_id::VARCHAR, ''),
+                                                  lambda x: ascii(x)::BIGINT)),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])
+                   )) % 3 = 0 AS tampered
+            FROM documents, crc_table
+        ), fields AS (
+            SELECT *,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS others,
+                   CASE WHEN tampered
+                        THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                       'abcdefghijklmnopqrstuvwxyz')
+                        ELSE text END AS claimed
+            FROM hashed
+        ), hashes AS (
+            SELECT doc_id, coalesce('+' || lang, '') AS tree,
+                   sha256(others || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(others || coalesce(strlen(claimed) || ':' || claimed, '-')) AS other
+            FROM fields
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1
+                      AS place
+            FROM hashes
+        ), nodes AS (
+            SELECT tree, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY tree) AS total
+            FROM leaves
+            UNION ALL
+            SELECT tree, level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)),
+                   any_value((total + 7) // 8)
+            FROM nodes WHERE total > 1 GROUP BY tree, level, place // 8
+        ), subroots AS (
+            SELECT tree, node AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place
+            FROM nodes WHERE total = 1
+        ), over_nodes AS (
+            SELECT 0 AS level, place, subroot AS node, count(*) OVER () AS total FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)),
+                   any_value((total + 7) // 8)
+            FROM over_nodes WHERE total > 1 GROUP BY level, place // 8
+        ), steps AS (
+            SELECT tree, level, place,
+                   coalesce(string_agg(node, '') OVER (PARTITION BY tree, level, place // 8 ORDER BY place
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                   coalesce(string_agg(node, '') OVER (PARTITION BY tree, level, place // 8 ORDER BY place
+                       ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM (SELECT * FROM nodes
+                  UNION ALL SELECT NULL, * FROM over_nodes) WHERE total > 1
+        ), climbs AS (
+            SELECT row_number() OVER () AS id, doc_id, leaf, l.tree, l.tree AS inside, 0 AS level,
+                   l.place, other AS folded, '' AS proof
+            FROM leaves l
+            UNION ALL
+            SELECT c.id, c.doc_id, c.leaf, c.tree,
+                   CASE WHEN s.level IS NULL THEN NULL ELSE c.inside END,
+                   CASE WHEN s.level IS NULL THEN 0 ELSE c.level + 1 END,
+                   CASE WHEN s.level IS NULL THEN r.place ELSE c.place // 8 END,
+                   CASE WHEN s.level IS NULL THEN c.folded
+                        ELSE sha256(s.before || c.folded || s.after) END,
+                   c.proof || coalesce(s.before || s.after, '')
+            FROM climbs c
+            JOIN subroots r ON r.tree = c.tree
+            LEFT JOIN steps s ON s.tree IS NOT DISTINCT FROM c.inside AND s.level = c.level
+                                 AND s.place = c.place
+            WHERE s.level IS NOT NULL OR c.inside IS NOT NULL
+        ), ends AS (
+            SELECT * FROM climbs c
+            WHERE inside IS NULL AND level = (SELECT max(level) FROM over_nodes)
+        )
+        SELECT doc_id, leaf, subroot, o.node AS root, sha256(proof) AS proof_sha256,
+               folded AS folded_root, folded = o.node AS verified
+        FROM ends JOIN subroots USING (tree), over_nodes o
+        WHERE o.total = 1
+    """,
 }
