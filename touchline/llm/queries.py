@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.batches import Scratch, fold
 from touchline.llm.bpe import encode_and_decode
+from touchline.llm.imatch import fingerprints
 from touchline.llm.language import fit_language_model, predict_language
 from touchline.llm.lines import dedup_lines
 from touchline.llm.merkle import build_manifest, proof_digest
@@ -182,6 +183,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": """
         WITH parts AS (
