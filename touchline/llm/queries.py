@@ -21,6 +21,7 @@ from touchline.llm.quality import fit_quality_model, score_quality
 from touchline.llm.rules import apply_rules
 from touchline.llm.secrets import scan_secrets
 from touchline.llm.topk import integer_vector, top_k
+from touchline.llm.trie import build_trie, rebuilt
 from touchline.llm.urls import Rule, judge_urls
 from touchline.session import tune
 
@@ -183,6 +184,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.col("conv_id") - F.col("conv_id") % 20
+    turns = table(spark, sf_dir, "conversations")
+    scratch = Scratch(spark)
+    whole = rebuilt(turns, head, fold("conv_id", 4).cast("int"))
+    return build_trie(scratch.write(whole), scratch)
+
+
 @query
 def op13_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"), Scratch(spark))
@@ -321,4 +331,55 @@ ORACLE: dict[str, str] = {
         FROM ends JOIN subroots USING (tree), over_nodes o
         WHERE o.total = 1
     """,
+    "op12_trie": """
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(
+                       list_concat([i], range(8)),
+                       lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+                   )) AS t
+        ), own AS (
+            SELECT conv_id,
+                   list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                        ORDER BY turn NULLS FIRST, role, text) AS turns,
+                   xor(4294967295, list_reduce(
+                       list_concat([4294967295],
+                                   list_transform(string_split(conv_id::VARCHAR, ''),
+                                                  lambda x: ascii(x)::BIGINT)),
+                       lambda c, b: xor(c >> 8, any_value(t)[(xor(c, b) & 255) + 1])
+                   )) % 4 AS h
+            FROM conversations, crc_table WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), rebuilt AS (
+            SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+            FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+        ), prefixes AS (
+            SELECT conv_id, d AS depth, len(turns) AS total, turns[1:d] AS prefix
+            FROM rebuilt, unnest(range(len(turns) + 1)) AS u(d)
+        ), through AS (
+            SELECT conv_id, depth, total, prefix[depth].text AS last,
+                   min(conv_id) OVER (PARTITION BY depth, prefix) AS node
+            FROM prefixes
+        ), nodes AS (
+            SELECT node, depth, count(*) AS n_convs,
+                   string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = total) AS ends,
+                   CASE WHEN depth = 0 THEN 0
+                        ELSE len(regexp_extract_all(any_value(last), '[^\\x20\\x09-\\x0D]+')) END AS words
+            FROM through GROUP BY node, depth
+        ), linked AS (
+            SELECT n.*, p.node AS parent, (n.n_convs - 1) * n.words AS own_saved
+            FROM nodes n LEFT JOIN through p ON p.conv_id = n.node AND p.depth = n.depth - 1
+        ), counted AS (
+            SELECT l.*, (SELECT count(*) FROM linked c
+                         WHERE c.parent = l.node AND c.depth = l.depth + 1) AS n_children
+            FROM linked l
+        ), sums AS (
+            SELECT a.node, a.depth, count(*) FILTER (c.n_children = 0) AS n_leaves,
+                   sum(c.own_saved) AS saved_tokens
+            FROM counted c JOIN through a ON a.conv_id = c.node AND a.depth <= c.depth
+            GROUP BY a.node, a.depth
+        )
+        SELECT node AS conv_id, depth::BIGINT AS depth, parent AS parent_conv_id, n_convs,
+               n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+               sha256(coalesce(ends, '')) AS ends_sha256
+        FROM counted JOIN sums USING (node, depth)
+    """,
 }
