@@ -5,7 +5,19 @@ import random
 import numpy as np
 import pytest
 
-from touchline.llm.quality import TERMS, QualityModel, Terms, fit_quality_model, latent, score_quality, shape, votes
+from touchline.llm.quality import (
+    LATENT,
+    TERMS,
+    QualityModel,
+    Terms,
+    fit_quality_model,
+    latent,
+    main_axes,
+    score_quality,
+    shape,
+    votes,
+    weighted,
+)
 
 
 def good(rng):
@@ -37,6 +49,28 @@ def test_shapes():
     assert len(shape("#" * 1000)) == 1 and shape("") == ""
 
 
+def test_shapes_of_long_words_tell_of_the_whole_word():
+    assert shape("#" * 10**6) == "#"
+    long = "a#" * 50
+    assert shape(long + "xx#") == shape(long + "yy#") != shape(long + "xx")
+    assert shape(long) != shape(long + "a#") and len(shape("a#" * 10**5)) < 40
+    assert shape("a#" * 32) == "a#" * 32
+
+
+def test_axes_are_those_of_a_full_decomposition():
+    rng = np.random.default_rng(3)
+    topics = rng.random((LATENT + 5, TERMS)) ** 8 * 0.97 ** np.arange(LATENT + 5)[:, None]
+    counts = rng.poisson(rng.random((300, LATENT + 5)) ** 4 @ topics).astype(np.float32)
+    weight = rng.random(TERMS).astype(np.float32) + 0.1
+    axes = main_axes(weight, lambda: (counts[i : i + 70] for i in range(0, 300, 70)))
+    rows = weighted(weight, counts).astype(float)
+    values, whole = np.linalg.eigh(rows.T @ rows)
+    best = values[::-1][:LATENT].sum()
+    assert np.allclose(axes.T @ axes, np.eye(LATENT), atol=1e-4)
+    assert np.linalg.norm(rows @ axes) ** 2 >= 0.999 * best
+    assert abs(whole[:, -1] @ axes[:, 0]) > 0.999
+
+
 def test_counts():
     terms = Terms()
     assert terms.count("").sum() == terms.count(" \n ").sum() == 0

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
@@ -75,6 +75,19 @@ def lists(column: pa.Array) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(lengths)[:-1]) if len(lengths) else []
 
 
+def tucked(docs: DataFrame, kept: Sequence[str], name: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with the columns in ``kept`` and all others in one struct called ``name``, so
+    that no name of theirs can clash; and the columns that bring them back, in order."""
+    held = {x.lower() for x in kept}
+    mine = [x for x in docs.columns if x.lower() in held]
+    others = [x for x in docs.columns if x.lower() not in held]
+    if not others:
+        return docs, [F.col(x) for x in mine]
+    inside = F.struct(*[F.col(f"`{x}`").alias(f"c{i}") for i, x in enumerate(others)])
+    back = {x: F.col(f"`{name}`")[f"c{i}"].alias(x) for i, x in enumerate(others)}
+    return docs.select(*mine, inside.alias(name)), [back.get(x, F.col(x)) for x in docs.columns]
+
+
 class Scratch:
     """Intermediate tables in a new folder that all executors share."""
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.batches import Scratch, labelled_sample
+from touchline.llm.batches import Scratch, labelled_sample, tucked
 
 #: Hashed words, labelled documents of each domain, and smoothing counts.
 SLOTS, FIT_ROWS, SMOOTHING = 1 << 14, 2000, 0.5
@@ -204,13 +204,13 @@ def mix(
     brought to a sum of 1 and apply to the tokens of all documents. ``rate`` is
     how often a document should be taken; ``copies`` is that number rounded down
     or up by a hash of key and text, so that its expectation is the rate. Columns
-    of these names are replaced. Texts that are null or without words have no
+    of these names are replaced; all others come through untouched, whatever their names. Texts that are null or without words have no
     tokens, the prior as posterior, and a rate of 1. Repeated rows get the same
     rate. A domain without labelled documents has posterior and target 0, and the
     others share its target; without any labelled documents all posteriors are equal.
     """
     domains = sorted(targets)
-    docs = docs.drop("n_tokens", "posterior", "rate", "copies")
+    docs, given = tucked(docs.drop("n_tokens", "posterior", "rate", "copies"), [key, "text"], "given")
     marks = labelled.filter(F.col(key).isNotNull() & F.col("domain").isin(domains))
     marks = marks.select(key, "domain")
     table, present = with_posteriors(docs, marks, domains, scratch, key)
@@ -221,7 +221,7 @@ def mix(
     mixed = table.withColumn("rate", rate)
     copies = F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return mixed.select(
-        *docs.columns,
+        *given,
         F.col("mix_tokens").alias("n_tokens"),
         F.col("mix_p").alias("posterior"),
         "rate",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
@@ -19,6 +19,10 @@ from touchline.llm.batches import Rows, Work, labelled_sample, lists, map_slices
 
 #: Hashed terms, latent dimensions, labelled texts of each class, and voters.
 TERMS, LATENT, FIT_ROWS, VOTERS = 2048, 48, 1500, 15
+#: Directions beyond the latent ones while these are sought, and times they are multiplied.
+SPARE, ITERATIONS = 16, 24
+#: Characters of a word's shape beyond which it stands by its hash.
+LONG_SHAPE = 64
 #: Documents in one matrix product.
 BLOCK = 256
 #: Words whose term a task remembers; beyond it, it starts afresh.
@@ -57,7 +61,8 @@ def shape(word: str) -> str:
             return "AA"
         if word[1:].islower():
             return "Aa"
-    return _RUNS.sub(_run, word[:64])
+    form = _RUNS.sub(_run, word)
+    return form if len(form) <= LONG_SHAPE else f"long {xxhash.xxh3_64_hexdigest(form)}"
 
 
 def slot(term: str) -> int:
@@ -106,10 +111,15 @@ class Terms:
         return out.astype(np.float32)
 
 
+def weighted(weight: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Roots of each term's share of a text, times the term's weight."""
+    shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    return np.sqrt(shares) * weight
+
+
 def latent(weight: np.ndarray, axes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Unit vectors of rows of counts; rows without a known term stay zero."""
-    shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    vectors = (np.sqrt(shares) * weight) @ axes
+    vectors = weighted(weight, counts) @ axes
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return np.where(norms > 1e-9, vectors / np.maximum(norms, 1e-9), 0).astype(np.float32)
 
@@ -148,22 +158,47 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
     rows = sorted(
         range(len(slots)), key=lambda i: (labels_of[i], slots[i].tobytes(), times[i].tobytes())
     )
-    counts = np.zeros((len(rows), TERMS), np.float32)
-    for out, i in zip(counts, rows, strict=True):
-        out[slots[i]] = times[i]
     marks_of = labels_of[rows].astype(np.float32)
     if not rows:
         none = np.zeros((0, LATENT), np.float32)
         return QualityModel(np.ones(TERMS), np.zeros((TERMS, LATENT)), none, marks_of, 0.5)
-    weight = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.1
-    shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    weighted = (np.sqrt(shares) * weight).astype(np.float64)
-    _, axes = np.linalg.eigh(weighted.T @ weighted)
-    weight = weight.astype(np.float32)
-    axes = np.ascontiguousarray(axes[:, ::-1][:, :LATENT], np.float32)
-    return QualityModel(
-        weight, axes, latent(weight, axes, counts), marks_of, float(marks_of.mean())
-    )
+    held = np.bincount(np.concatenate(slots), minlength=TERMS)
+    weight = (np.log((1 + len(rows)) / (1 + held)) + 0.1).astype(np.float32)
+
+    def blocks() -> Iterator[np.ndarray]:
+        """The counts of BLOCK texts at a time, so that they never stand in memory as a whole."""
+        for start in range(0, len(rows), BLOCK):
+            part = rows[start : start + BLOCK]
+            counts = np.zeros((len(part), TERMS), np.float32)
+            for out, i in zip(counts, part, strict=True):
+                out[slots[i]] = times[i]
+            yield counts
+
+    axes = main_axes(weight, blocks)
+    vectors = np.concatenate([latent(weight, axes, x) for x in blocks()])
+    return QualityModel(weight, axes, vectors, marks_of, float(marks_of.mean()))
+
+
+def main_axes(weight: np.ndarray, blocks: Callable[[], Iterable[np.ndarray]]) -> np.ndarray:
+    """The LATENT directions in which weighted counts vary most, by subspace iteration.
+
+    A few more directions than wanted are multiplied with the texts and made orthogonal again
+    and again; a matrix of terms by terms is never formed.
+    """
+    start = np.random.default_rng(6).standard_normal((TERMS, LATENT + SPARE))
+    axes = np.linalg.qr(start)[0].astype(np.float32)
+    for _ in range(ITERATIONS):
+        moved = np.zeros(axes.shape, np.float64)
+        for counts in blocks():
+            rows = weighted(weight, counts)
+            moved += rows.T @ (rows @ axes)
+        axes = np.linalg.qr(moved)[0].astype(np.float32)
+    small = np.zeros((LATENT + SPARE,) * 2)
+    for counts in blocks():
+        inside = weighted(weight, counts) @ axes
+        small += inside.T @ inside
+    _, turned = np.linalg.eigh(small)
+    return np.ascontiguousarray(axes @ turned[:, ::-1][:, :LATENT].astype(np.float32))
 
 
 def votes(model: QualityModel, counts: np.ndarray) -> np.ndarray:
