@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.batches import Scratch, fold
+from touchline.llm.batches import Scratch, fold, tucked
 from touchline.llm.bpe import encode_and_decode
 from touchline.llm.lines import dedup_lines
 from touchline.llm.mixing import mix
@@ -21,10 +22,25 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # Low quality is gone by then, so that only toxic and other documents are mixed.
 TARGETS = {"clean": 0.95, "toxic": 0.05}
 
+#: Columns of documents; a stage carries all others along.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
 # No SQL: classifier, alignments and rates have no counterpart there.
 ORACLE_SQL = None
 
 
+def untouched(stage: Stage) -> Stage:
+    """A stage that brings columns beyond those of documents through, whatever their names."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain, given = tucked(docs, DOCUMENT, "given")
+        return stage(spark, plain, sf_dir).select(*given)
+
+    return run
+
+
+@untouched
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject.
 
@@ -38,6 +54,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return score_quality(docs, model, carried=True).filter("predicted = 1").select(*docs.columns)
 
 
+@untouched
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeats of runs of words; one left without a word goes."""
     prepare(spark)
@@ -46,6 +63,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cleaned.filter(~emptied).select(*docs.columns)
 
 
+@untouched
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, with repeated rows once."""
     prepare(spark)
@@ -60,6 +78,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     )
 
 
+@untouched
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its rate says."""
     prepare(spark)
