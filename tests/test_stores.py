@@ -1,0 +1,237 @@
+"""Tables are never missing, loads are repeatable, and raw files are scanned once."""
+
+from __future__ import annotations
+
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchline import sources as src
+from touchline.sources import load as loading
+from touchline.sources.store import LOAD_ID
+
+
+@pytest.fixture(params=["path", "catalog"])
+def store(request, spark, tmp_path):
+    if request.param == "path":
+        yield src.PathStore(str(tmp_path / "tables"))
+    else:
+        spark.sql("CREATE DATABASE IF NOT EXISTS stores")
+        yield src.CatalogStore("stores")
+        spark.sql("DROP DATABASE stores CASCADE")
+
+
+@pytest.fixture
+def catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stores")
+    yield src.CatalogStore("stores")
+    spark.sql("DROP DATABASE stores CASCADE")
+
+
+class Stop(BaseException):
+    """The driver is lost."""
+
+
+def numbers(spark, first, n=100):
+    return spark.range(first, first + n).toDF("id")
+
+
+def content(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
+def test_a_reader_never_misses_a_table_of_the_catalog(spark, catalog):
+    src.load_table(numbers(spark, 0), "t", catalog)
+    seen, errors, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = content(catalog.read(spark, "t"))
+                seen.add((rows[0], rows[-1], len(rows)))
+            except Exception as error:
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(1, 6):
+        src.load_table(numbers(spark, i * 1000), "t", catalog)
+        time.sleep(0.1)
+    done.set()
+    reader.join()
+    assert not errors
+    assert seen <= {(i * 1000, i * 1000 + 99, 100) for i in range(6)} and len(seen) > 1
+
+
+def test_a_stop_at_any_statement_leaves_the_old_table_or_the_new_one(spark, catalog, monkeypatch):
+    src.load_table(numbers(spark, 0), "t", catalog)
+    plain, stopped = type(spark).sql, 0
+    for step in range(12):
+        before, count = content(catalog.read(spark, "t")), [0]
+
+        def counting(self, text, *args, count=count, step=step, **more):
+            # Statements of a publish that change something.
+            if text.startswith(("CREATE", "DROP", "ALTER")):
+                count[0] += 1
+                if count[0] > step:
+                    raise Stop
+            return plain(self, text, *args, **more)
+
+        new = catalog.prepare(numbers(spark, (step + 1) * 1000), "t")
+        monkeypatch.setattr(type(spark), "sql", counting)
+        try:
+            catalog.publish(spark, new, "t")
+        except Stop:
+            stopped += 1
+        monkeypatch.setattr(type(spark), "sql", plain)
+        assert content(catalog.read(spark, "t")) in (before, list(range((step + 1) * 1000, (step + 1) * 1000 + 100)))
+    assert 1 <= stopped < 12
+    current = content(catalog.read(spark, "t"))
+    assert catalog.sweep(spark, "t") and not catalog.sweep(spark, "t")
+    assert content(catalog.read(spark, "t")) == current
+    assert len(spark.catalog.listTables("stores", "t__*")) == 2
+
+
+def test_a_plain_table_of_the_catalog_becomes_a_version(spark, catalog):
+    numbers(spark, 0).withColumn("part", F.col("id") % 2).write.partitionBy("part").saveAsTable("stores.t")
+    src.load_table(numbers(spark, 5), "t", catalog)
+    current, previous = catalog.versions(spark, "t")
+    assert content(catalog.read(spark, "t")) == content(spark.table(f"stores.{current}")) == list(range(5, 105))
+    assert spark.table(f"stores.{previous}").count() == 100
+    catalog.discard(spark, "t")
+    assert not spark.catalog.listTables("stores")
+
+
+@pytest.mark.parametrize("step", [1, 2])
+def test_a_path_table_left_aside_is_put_back(spark, tmp_path, monkeypatch, step):
+    store = src.PathStore(str(tmp_path))
+    src.load_table(numbers(spark, 0), "t", store)
+    plain, count = src.PathStore._rename, [0]
+
+    def rename(self, *args):
+        count[0] += 1
+        if count[0] == step:
+            raise Stop
+        return plain(self, *args)
+
+    monkeypatch.setattr(src.PathStore, "_rename", rename)
+    new = store.prepare(numbers(spark, 1000), "t")
+    with pytest.raises(Stop):
+        store.publish(spark, new, "t")
+    monkeypatch.setattr(src.PathStore, "_rename", plain)
+    assert store.exists(spark, "t") == (step == 1)
+    assert store.recover(spark, "t") == (step == 2)
+    assert content(store.read(spark, "t")) == list(range(100))
+    src.load_table(numbers(spark, 2000), "t", store)
+    assert content(store.read(spark, "t")) == list(range(2000, 2100))
+    assert not store.recover(spark, "t")
+
+
+def test_a_write_puts_a_table_back_by_itself(spark, tmp_path):
+    store = src.PathStore(str(tmp_path))
+    src.load_table(numbers(spark, 0), "t", store)
+    store._rename(spark, "t", "t__aside")
+    bad = numbers(spark, 0).selectExpr("IF(id = 99, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        src.load_table(bad, "t", store)
+    assert content(store.read(spark, "t")) == list(range(100))
+
+
+def test_a_repeated_load_adds_its_rows_once(spark, store):
+    first = src.load_table(numbers(spark, 0).repartition(3), "t", store, "append", load_id="monday")
+    again = src.load_table(numbers(spark, 0).repartition(2), "t", store, "append", load_id="monday")
+    more = src.load_table(numbers(spark, 500, 7).repartition(1), "t", store, "append", load_id="tuesday")
+    assert (first.chunks, again.chunks, more.chunks) == (3, 2, 1)
+    assert (first.rows, again.rows, more.rows) == (100, 100, 7)
+    assert first.success and again.success and more.success
+    assert content(store.read(spark, "t")) == [*range(100), *range(500, 507)]
+    fewer = src.load_table(numbers(spark, 0, 10), "t", store, "append", load_id="monday")
+    assert fewer.rows == 10 and content(store.read_load(spark, "t", "monday")) == list(range(10))
+    none = src.load_table(numbers(spark, 0, 0), "t", store, "append", load_id="monday")
+    assert (none.success, none.rows, none.chunks) == (True, 0, 0)
+    assert content(store.read(spark, "t")) == list(range(500, 507))
+
+
+def test_a_failed_load_leaves_the_earlier_try(spark, store):
+    src.load_table(numbers(spark, 0), "t", store, "append", load_id="a")
+    bad = spark.range(0, 100, 1, 4).selectExpr("IF(id = 99, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        src.load_table(bad, "t", store, "append", load_id="a")
+    assert content(store.read(spark, "t")) == list(range(100))
+
+
+def test_loads_side_by_side_count_their_own_files(spark, store):
+    src.load_table(numbers(spark, 0, 1), "t", store, "append", load_id="start")
+    found = {}
+
+    def load(i):
+        df = numbers(spark, i * 1000, 50 + i).repartition(1 + i)
+        found[i] = src.load_table(df, "t", store, "append", load_id=f"load{i}")
+
+    threads = [threading.Thread(target=load, args=(i,)) for i in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert {i: (r.success, r.chunks, r.rows) for i, r in found.items()} == {
+        i: (True, 1 + i, 50 + i) for i in range(4)
+    }
+    assert store.read(spark, "t").count() == 1 + sum(50 + i for i in range(4))
+
+
+@pytest.mark.parametrize("bad", ["", "2024-08-01", "7", "a/b", "a'b"])
+def test_ids_that_spark_would_read_as_numbers_raise(spark, store, bad):
+    with pytest.raises(ValueError, match="load id"):
+        src.load_table(numbers(spark, 0), "t", store, "append", load_id=bad)
+    with pytest.raises(ValueError, match=LOAD_ID):
+        src.load_table(numbers(spark, 0).withColumn("LOAD_ID", F.lit(1)), "t", store, "append", load_id="a")
+
+
+def test_a_load_is_one_partition_of_appended_rows(spark, store):
+    with pytest.raises(ValueError, match="partition of its own"):
+        src.load_table(numbers(spark, 0), "t", store, "append", ["id"], load_id="a")
+    with pytest.raises(ValueError, match="partition of its own"):
+        src.load_table(numbers(spark, 0), "t", store, load_id="a")
+
+
+def counted(monkeypatch, spark):
+    """Counts rows as the raw scan hands them on."""
+    rows, plain = spark.sparkContext.accumulator(0), loading.read_table_csv
+
+    def read(*args, **more):
+        raw = plain(*args, **more)
+
+        def run(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+
+        return raw.mapInArrow(run, raw.schema)
+
+    monkeypatch.setattr(loading, "read_table_csv", read)
+    return rows
+
+
+@pytest.mark.parametrize("values, kind", [(["1", "2", ""], "bigint"), (["1", "2.5"], "double"), (["1", "x"], "string"), ([""], "string")])
+def test_raw_files_are_scanned_once(spark, store, tmp_path, monkeypatch, values, kind):
+    (tmp_path / "t.csv").write_text("id,more\n" + "".join(f"{i},{v}\n" for i, v in enumerate(values * 20)))
+    rows = counted(monkeypatch, spark)
+    spec = src.TableSpec("t", types={"ID": "bigint"}, key=("ID",))
+    (result,) = src.load_all(spark, str(tmp_path), store, specs={"t": spec})
+    assert rows.value == result.rows == 20 * len(values) and result.success
+    back = store.read(spark, "t")
+    assert dict(back.dtypes) == {"ID": "bigint", "MORE": kind}
+    assert back.count() == result.rows
+
+
+def test_a_repeated_key_raises_in_tables_of_text_too(spark, store, tmp_path):
+    spec = src.TableSpec("t", types={"ID": "bigint"}, key=("ID",))
+    for second in ("x", "7"):
+        (tmp_path / "t.csv").write_text(f"id,more\n1,{second}\n")
+        src.load_all(spark, str(tmp_path), store, specs={"t": spec})
+        (tmp_path / "t.csv").write_text(f"id,more\n1,{second}\n1,{second}\n")
+        with pytest.raises(ValueError, match="not unique"):
+            src.load_all(spark, str(tmp_path), store, specs={"t": spec})
+        assert store.read(spark, "t").count() == 1

@@ -84,6 +84,39 @@ def unlisted(df: DataFrame, spec: TableSpec) -> list[str]:
     return [name for name in texts if name not in listed]
 
 
+# Kinds of values, each more general than the one before: a column is of the most general
+# kind of its values. Whole numbers beyond a bigint are text, so that no digit is lost.
+KINDS = ("bigint", "double", "string")
+
+
+def kind(text: Column) -> Column:
+    """The kind of one value, as a place in KINDS; a null has none.
+
+    Patterns are matched only for what is no bigint.
+    """
+    return (
+        F.when(text.isNull(), None)
+        .when(text.try_cast("bigint").isNotNull(), 0)
+        .when(text.rlike(WHOLE) | ~text.rlike(NUMBER), 2)
+        .when(text.try_cast("double").isNotNull(), 1)
+        .otherwise(2)
+    )
+
+
+def kinds(columns: Sequence[str]) -> list[Column]:
+    """One aggregate for each column, as ``kind <place>``: the most general kind of its values.
+
+    Aggregates of parts merge, so they can be observed while the rows are written.
+    """
+    return [F.max(kind(F.col(name))).alias(f"kind {i}") for i, name in enumerate(columns)]
+
+
+def types_of(found: Mapping[str, int | None], columns: Sequence[str]) -> dict[str, str]:
+    """bigint or double by column, from the aggregates above; texts are left out."""
+    places = {name: found[f"kind {i}"] for i, name in enumerate(columns)}
+    return {name: KINDS[x] for name, x in places.items() if x is not None and KINDS[x] != "string"}
+
+
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """bigint or double for the text columns in which every value is such a number.
 
@@ -91,29 +124,7 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     without a value stays text, and so does one whose whole numbers exceed a
     bigint.
     """
-    if not columns:
-        return {}
-
-    def everywhere(name: str, pattern: str, dtype: str) -> Column:
-        fits = F.col(name).rlike(pattern) & F.col(name).try_cast(dtype).isNotNull()
-        return F.coalesce(F.bool_and(F.when(F.col(name).isNotNull(), fits)), F.lit(False))
-
-    row = df.agg(
-        *[
-            F.struct(
-                everywhere(name, WHOLE, "bigint").alias("bigint"),
-                (~F.bool_or(F.col(name).rlike(WHOLE) & F.col(name).try_cast("bigint").isNull())
-                 & everywhere(name, NUMBER, "double")).alias("double"),
-            ).alias(f"c{i}")
-            for i, name in enumerate(columns)
-        ]
-    ).first()
-    found = {}
-    for i, name in enumerate(columns):
-        kinds = [dtype for dtype in ("bigint", "double") if row[f"c{i}"][dtype]]
-        if kinds:
-            found[name] = kinds[0]
-    return found
+    return types_of(df.agg(*kinds(columns)).first().asDict(), columns) if columns else {}
 
 
 def drop_future(df: DataFrame, column: str, as_of: date | str | None = None) -> DataFrame:
