@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -553,3 +554,145 @@ def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, kinds)
+
+
+# --- kept up to date ---------------------------------------------------------
+
+
+class StoppedOnce(src.PathStore):
+    """A store whose driver is lost, once, while it replaces the valuations."""
+
+    def publish(self, spark: SparkSession, new: str, name: str) -> None:
+        if name == "player_valuation" and not self.exists(spark, "stopped"):
+            self.write(spark.range(1).toDF("id"), "stopped")
+            raise RuntimeError("stopped on purpose")
+        super().publish(spark, new, name)
+
+
+@query
+def refresh_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh that fails at its last mart and is resumed; all rows of the four marts."""
+    scratch = scratch_dir(spark)
+    raw = write_raw_files(spark, sf_dir, f"{scratch}/raw")
+    staging, marts = src.PathStore(f"{scratch}/staging"), StoppedOnce(f"{scratch}/marts")
+    written = plans.run_refresh(spark, raw, staging, marts, AS_OF, attempts=2)
+    for used in ("raw", "staging"):
+        src.PathStore(scratch).discard(spark, used)
+    tables = [as_rows(load.table, marts.read(spark, load.table)) for load in written.marts]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def versions_behind_a_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers of a catalog table after it was replaced: what readers get now, and the
+    version before, which readers that have started may still read."""
+    database = f"touchline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark)}'")
+    store, transfers = src.CatalogStore(database), Sources(spark, sf_dir)["transfers"]
+    src.load_table(transfers.limit(0), "transfers", store)
+    src.load_table(transfers.filter("player_id % 2 = 0"), "transfers", store)
+    src.load_table(transfers, "transfers", store)
+    _, before = store.versions(spark, "transfers")
+    now, old = store.read(spark, "transfers"), store.read(spark, before)
+    return now.withColumn("version", F.lit("now")).unionByName(old.withColumn("version", F.lit("before")))
+
+
+@query
+def loads_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers appended in three loads, two of which are repeated after a first try."""
+    store, transfers = src.PathStore(scratch_dir(spark)), Sources(spark, sf_dir)["transfers"]
+
+    def load(i: int, rows: DataFrame) -> None:
+        src.load_table(rows, "transfers", store, "append", load_id=f"load-{i}")
+
+    part = F.pmod("player_id", F.lit(3))
+    for i in (0, 1):
+        load(i, transfers.filter((part == i) & (F.col("transfer_fee") > 20_000)))
+    for i in (2, 1, 0, 0):
+        load(i, transfers.filter(part == i))
+    return store.read(spark, "transfers")
+
+
+def batches(df: DataFrame, by: Column, n: int) -> list[DataFrame]:
+    """All rows, dealt to ``n`` batches."""
+    return [df.filter(F.pmod(by, F.lit(n)) == i) for i in range(n)]
+
+
+@query
+def latest_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest transfer of every player, from four batches merged one after the other."""
+    transfers = Sources(spark, sf_dir)["transfers"]
+    store, order = src.PathStore(scratch_dir(spark)), ("transfer_date", TRANSFER_TIES)
+    first, *rest = batches(transfers, F.xxhash64("to_club_id", "transfer_fee"), 4)
+    src.load_table(op.latest_per_key(first, ["player_id"], *order), "newest", store)
+    for batch in rest:
+        merged = op.merge_latest(store.read(spark, "newest"), batch, ["player_id"], *order)
+        src.load_table(merged, "newest", store)
+    return store.read(spark, "newest")
+
+
+@query
+def distinct_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct games by position and season, from the bitmaps of three batches by day."""
+    keys = ["position", "season"]
+    facts = appearances_in_context(Sources(spark, sf_dir), {"position": "position"})
+    store = src.PathStore(scratch_dir(spark))
+    first, *rest = batches(facts, F.unix_date("game_date").cast("bigint"), 3)
+    src.load_table(op.distinct_state(first, keys, "game_id"), "games", store)
+    for batch in rest:
+        merged = op.merge_distinct(store.read(spark, "games"), op.distinct_state(batch, keys, "game_id"), keys)
+        src.load_table(merged, "games", store)
+    return op.distinct_counts(store.read(spark, "games"), keys, "games_played")
+
+
+# Days of the snapshots; the second one is taken twice.
+SNAPSHOT_DAYS = ("1998-12-31", "2000-03-31", "2000-03-31", AS_OF)
+
+
+@query
+def current_club_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current-club mart over three reference days, as intervals of unchanged rows."""
+    tables, store = Sources(spark, sf_dir), src.PathStore(scratch_dir(spark))
+    history = None
+    for day in SNAPSHOT_DAYS:
+        mart = plans.player_current_club(tables, day)
+        src.load_table(op.snapshot(history, mart, ["player_id"], day), "history", store)
+        history = store.read(spark, "history")
+    return history.select(
+        "player_id", "derived_current_club_id", "last_recorded_date", "potentially_outdated",
+        "data_quality_note", "valid_from", "valid_to",
+    )
+
+
+DATA_RULES = {
+    "players": [
+        op.Unique(["player_id"]), op.NotNull("date_of_birth"), op.NotNull("current_club_id"),
+        op.References("current_club_id", "clubs", "club_id"),
+    ],
+    "clubs": [
+        op.Unique(["club_id"]), op.Within("club_id", low=0), op.NotNull("domestic_competition_id"),
+        op.References("domestic_competition_id", "competitions", "competition_id"),
+    ],
+    "competitions": [op.Unique(["competition_id"]), op.NotNull("name")],
+    "games": [
+        op.Unique(["game_id"]), op.NotNull("home_club_goals"), op.Accepted("home_club_goals", [0, 1, 2, 3]),
+        op.Within("attendance", 0, 200_000), op.References("home_club_id", "clubs", "club_id"),
+    ],
+    "appearances": [
+        op.Accepted("goals", [0, 1, 2]), op.Within("minutes_played", 1, 45),
+        op.Unique(["player_id", "game_id"]), op.References("game_id", "games", "game_id"),
+        op.References("player_id", "players", "player_id"),
+    ],
+    "transfers": [
+        op.NotNull("transfer_date"), op.Within("transfer_fee", high=100_000.0),
+        op.References("player_id", "players", "player_id"),
+    ],
+    "player_valuations": [op.NotNull("date"), op.Within("market_value_in_eur", low=1000.0)],
+    "club_games": [op.References("game_id", "games", "game_id")],
+}
+
+
+@query
+def data_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of each rule over all domain tables."""
+    return op.violations(Sources(spark, sf_dir), DATA_RULES)

@@ -1,0 +1,110 @@
+"""A refresh that fails goes on where it stopped."""
+
+from __future__ import annotations
+
+import pytest
+
+from registry.adapter import AS_OF, write_raw_files
+from registry.queries import StoppedOnce, as_rows
+from touchline import sources as src
+from touchline.plans import refresh, run_refresh
+from touchline.plans.ledger import LEDGER, digest
+from touchline.sources import load as loading
+
+SF_DIR = "/root/testdata/sf0.001"
+MARTS = ("player_current_club", "player_performance", "player_valuation", "team_performance")
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    return write_raw_files(spark, SF_DIR, str(tmp_path_factory.mktemp("resume") / "raw"))
+
+
+@pytest.fixture
+def scans(monkeypatch):
+    """Names of the raw tables that are read, and of the tables that are written."""
+    read, written = [], []
+    plain_read, plain_load = refresh.read_table_csv, loading._replace
+
+    def reading(spark, path, **more):
+        read.append(path.rsplit("/", 1)[1].removesuffix(".csv"))
+        return plain_read(spark, path, **more)
+
+    def replacing(spark, new, name, *more):
+        written.append(name)
+        return plain_load(spark, new, name, *more)
+
+    monkeypatch.setattr(refresh, "read_table_csv", reading)
+    monkeypatch.setattr(loading, "_replace", replacing)
+    return read, written
+
+
+def rows_of(spark, store):
+    return {m: sorted(r.row_text for r in as_rows(m, store.read(spark, m)).collect()) for m in MARTS}
+
+
+def test_only_the_rest_of_a_failed_run_is_done(spark, tmp_path, raw, scans):
+    read, written = scans
+    staging, marts = src.PathStore(str(tmp_path / "s")), StoppedOnce(str(tmp_path / "m"))
+    with pytest.raises(RuntimeError, match="on purpose"):
+        run_refresh(spark, raw, staging, marts, AS_OF, resume=True)
+    assert sorted(read) == sorted(src.STAGING)
+    read.clear(), written.clear()
+    resumed = run_refresh(spark, raw, staging, marts, AS_OF, resume=True)
+    assert read == [] and written == ["player_valuation"]
+    fresh = src.PathStore(str(tmp_path / "fresh"))
+    once = run_refresh(spark, raw, src.PathStore(str(tmp_path / "f")), fresh, AS_OF)
+    assert rows_of(spark, marts) == rows_of(spark, fresh)
+    assert [(r.table, r.success, r.rows) for r in resumed.staging + resumed.marts] == [
+        (r.table, r.success, r.rows) for r in once.staging + once.marts
+    ]
+
+    # Nothing has changed: nothing is done. Another day: all is done again.
+    read.clear(), written.clear()
+    run_refresh(spark, raw, staging, marts, AS_OF, resume=True)
+    assert (read, written) == ([], [])
+    run_refresh(spark, raw, staging, marts, "2001-06-29", resume=True)
+    assert sorted(read) == sorted(src.STAGING) and set(MARTS) <= set(written)
+
+
+def test_what_depends_on_a_change_is_done_again(spark, tmp_path, raw, scans):
+    read, written = scans
+    spark.sql("CREATE DATABASE IF NOT EXISTS resumed")
+    try:
+        staging, marts = src.CatalogStore("resumed"), src.PathStore(str(tmp_path / "m"))
+        run_refresh(spark, raw, staging, marts, AS_OF, resume=True)
+        read.clear(), written.clear()
+        other = {name: f"{raw}/{name}.csv" for name in src.STAGING}
+        spark.read.option("header", True).csv(other["player_valuations"]).limit(5).coalesce(1).write.option(
+            "header", True
+        ).csv(f"{tmp_path}/player_valuations.csv")
+        other["player_valuations"] = f"{tmp_path}/player_valuations.csv"
+        run_refresh(spark, other, staging, marts, AS_OF, resume=True)
+        assert read == ["player_valuations"] and set(written) == {"player_valuations", "player_valuation"}
+
+        # A table that somebody else has changed is loaded again, and what reads it.
+        read.clear(), written.clear()
+        src.load_table(staging.read(spark, "games").limit(0), "games", staging)
+        written.clear()
+        run_refresh(spark, other, staging, marts, AS_OF, resume=True)
+        assert read == ["games"] and set(written) == {"games", "player_performance", "team_performance"}
+        assert staging.files(spark, LEDGER).groupBy("step").count().filter("count > 1").isEmpty()
+    finally:
+        spark.sql("DROP DATABASE resumed CASCADE")
+
+
+def test_attempts_resume_at_once_and_the_last_error_is_raised(spark, tmp_path, raw, scans):
+    read, written = scans
+    marts = StoppedOnce(str(tmp_path / "m"))
+    run_refresh(spark, raw, src.PathStore(str(tmp_path / "s")), marts, AS_OF, attempts=2)
+    assert sorted(read) == sorted(src.STAGING) and written.count("player_valuation") == 2
+    assert all(written.count(name) == 1 for name in written if name not in ("player_valuation", LEDGER))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|not exist"):
+        run_refresh(spark, "/no/such/folder", src.PathStore(str(tmp_path / "t")), marts, AS_OF, attempts=2)
+    with pytest.raises(ValueError, match="attempts"):
+        run_refresh(spark, raw, src.PathStore(str(tmp_path / "s")), marts, AS_OF, attempts=0)
+
+
+def test_digests_tell_parts_apart():
+    assert digest("ab", "c") != digest("a", "bc") != digest("abc")
+    assert digest(1, None) == digest(1, None) != digest("1", None)
