@@ -166,6 +166,45 @@ def test_a_family_that_matches_no_one_centre(docs, scratch):
     assert found == brute(rows)
 
 
+def rewritten(rng, text, at):
+    """One word replaced, at a share of the text."""
+    words = text.split()
+    words[int(at * (len(words) - 1))] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+def hidden_family(rng, first):
+    """An original, copies with one edit each, and texts that match a copy, not the original."""
+    base = text_of(rng, 200)
+    words = base.split()
+    texts = [base, *[rewritten(rng, base, rng.random()) for _ in range(9)]]
+    texts += [" ".join(words[: int(200 * share)]) for share in (0.8, 0.65)]
+    return [(first + i, t) for i, t in enumerate(texts)]
+
+
+def mixed_family(rng, first):
+    """Openings, middles and endings of one text, some with a passage put in or taken out."""
+    words = text_of(rng, 200).split()
+    texts = [" ".join(words)]
+    for _ in range(12):
+        part = words[rng.randrange(30) : 200 - rng.randrange(45)]
+        for _ in range(rng.randrange(3)):
+            at, n = rng.randrange(len(part) - 20), rng.randrange(1, 16)
+            part = part[:at] + ([f"put{x}" for x in range(n)] if rng.random() < 0.5 else []) + part[at + n :]
+        texts.append(" ".join(part))
+    return [(first + i, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("family", [hidden_family, mixed_family])
+def test_links_of_texts_that_match_no_centre_are_found(docs, scratch, family):
+    """All links that the bands' groups hold are found, also where the centre fits neither text."""
+    rng = random.Random(11)
+    families = [family(rng, 100 * i) for i in range(60)]
+    found, _ = classes(docs([row for rows in families for row in rows]), scratch)
+    wanted = {i: c for rows in families for i, c in brute(rows).items()}
+    assert found == wanted
+
+
 def test_rows(docs, scratch):
     long = "word " * 30_000
     rows = [(1, None), (2, None), (3, ""), (4, " \n"), (5, "Hi"), (6, "hi"), (7, "hi there"), (7, "hi there"),

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -27,12 +26,13 @@ from touchline.llm.components import connected_components
 KMER, SIMILARITY = 5, 0.8
 #: k-mers of a sketch, sketches of a band, bands.
 KEPT, ROWS, BANDS = 2, 2, 16
-#: A text that does not match its group's centre, but is so similar to it, is
-#: compared with others of the group; less similar ones meet in other bands.
+#: Texts that share as many of all k-mers with their group's centre, in any order, tell what the
+#: group has in common, and are compared within the group.
 NEAR = 0.4
-#: Smallest hashes of the k-mers a text adds to what its group has in common; any two
-#: of them are a key. Texts of one key that one task compares with each other.
-ADDED, TOGETHER = 9, 32
+#: Texts that one task compares with each other.
+TOGETHER = 32
+#: Rounds of groups within groups, each of which lacks its own centre.
+MOST_ROUNDS = 40
 #: Numbers of a text's matrix of hashes that are handled at once.
 PART = 1 << 20
 
@@ -159,22 +159,20 @@ def _verify() -> Work:
             [x.view(np.uint64) for x in lists(batch.column(name))]
             for name in ("member_kmers", "centre_kmers")
         )
-        shares = [similarity(a, b) for a, b in zip(members, centres, strict=True)]
-        linked = [x >= SIMILARITY - 1e-9 for x in shares]
+        pairs = list(zip(members, centres, strict=True))
+        shares = [similarity(a, b) for a, b in pairs]
+        # k-mers that one of the two texts has and the other one lacks.
+        added = [np.setdiff1d(a, b, assume_unique=True).view(np.int64) for a, b in pairs]
+        missing = [np.setdiff1d(b, a, assume_unique=True).view(np.int64) for a, b in pairs]
+        # Whatever their order, unlike the similarity.
+        common = [(len(a) - len(x)) / (len(b) + len(x)) for (a, b), x in zip(pairs, added, strict=True)]
         return {
             "member": batch.column("member"),
             "centre": batch.column("centre"),
-            "linked": linked,
-            "near": [x >= NEAR for x in shares],
-            # k-mers that one of the two texts has and the other one lacks.
-            "added": [
-                np.setdiff1d(a, b, assume_unique=True).view(np.int64) if x >= NEAR else []
-                for a, b, x in zip(members, centres, shares, strict=True)
-            ],
-            "missing": [
-                np.setdiff1d(b, a, assume_unique=True).view(np.int64) if x >= NEAR else []
-                for a, b, x in zip(members, centres, shares, strict=True)
-            ],
+            "linked": [x >= SIMILARITY - 1e-9 for x in shares],
+            "near": [x >= NEAR for x in common],
+            "added": added,
+            "missing": missing,
         }
 
     return work
@@ -219,17 +217,23 @@ def _checked(pairs: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
-    """group, content, matched, own and size, for groups with a text that doesn't match.
+    """group, content, own, lacks and size, for groups with a text that doesn't match.
 
     What a group has in common are the k-mers of its centre, without those that
     most members lack, and with those that most members add. ``own`` are the k-mers
-    a text adds to that, ``size`` counts these and the ones it lacks. The centre
-    itself is among the texts.
+    a text adds to that, ``lacks`` those that it is without, ``size`` weighs both. The
+    centre itself is among the texts.
     """
-    # Written first: a join whose sides are both shuffled for it can split a hot centre.
-    open_ = scratch.write(checked.filter("near AND NOT linked").select("centre").distinct())
+    # Written first: a join whose sides are both shuffled for it can split a hot centre. The
+    # group's size goes along with its rows, so that only k-mers of its majority meet by centre.
+    open_ = scratch.write(
+        checked.filter("near")
+        .groupBy("centre")
+        .agg(F.count("*").alias("members"), F.bool_and("linked").alias("done"))
+        .filter("NOT done")
+        .drop("done")
+    )
     rows = checked.filter("near").join(open_.hint("merge"), "centre")
-    sizes = rows.groupBy("centre").agg(F.count("*").alias("members"))
     kinds = F.explode(
         F.concat(
             F.transform("added", lambda x: F.struct(x.alias("kmer"), F.lit(True).alias("new"))),
@@ -237,10 +241,9 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
         )
     )
     most = (
-        rows.select("centre", kinds.alias("x"))
-        .groupBy("centre", "x")
+        rows.select("centre", "members", kinds.alias("x"))
+        .groupBy("centre", "members", "x")
         .agg(F.count("*").alias("n"))
-        .join(sizes, "centre")
         .filter(2 * F.col("n") > F.col("members") + 1)
         .groupBy("centre")
         .agg(
@@ -258,18 +261,19 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
     )
     centres = common.select(
         F.col("centre").alias("group"), F.col("centre").alias("content"),
-        F.lit(True).alias("matched"), F.col("lost").alias("own"),
-        (F.size("lost") + F.size("gained")).alias("size"),
+        F.col("lost").alias("own"), F.col("gained").alias("lacks"),
     )
     # A text has what it adds to the centre and the group doesn't, and what it
     # shares with the centre though the group has lost it.
     own = F.concat(F.array_except("added", "gained"), F.array_except("lost", "missing"))
     lacks = F.concat(F.array_except("missing", "lost"), F.array_except("gained", "added"))
     members = rows.join(common.hint("merge"), "centre").select(
-        F.col("centre").alias("group"), F.col("member").alias("content"),
-        F.col("linked").alias("matched"), own.alias("own"), (F.size(own) + F.size(lacks)).alias("size"),
-    )
-    return members.unionByName(centres)
+        F.col("centre").alias("group"), F.col("member").alias("content"), own.alias("own"), lacks.alias("lacks")
+    )
+    # Two texts without a common difference are similar if what they lack, and SIMILARITY of
+    # what they add, is together at most 1 - SIMILARITY of what the group has in common.
+    weight = F.size("lacks") + SIMILARITY * F.size("own")
+    return members.unionByName(centres).withColumn("size", weight)
 
 
 def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -280,13 +284,14 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     similar to other texts of the group, though not to the centre. So wherever a
     text of a group doesn't match:
 
-    1. What the group has in common is found. Edited copies of one text are the
-       more similar to each other the fewer edits they have, so all are compared
-       with the text that differs least from what is common.
-    2. What still doesn't match can be similar to a text that adds the same k-mers
-       to what is common. Keys of such k-mers form new groups. Those of up to
-       TOGETHER texts are compared in one task each; larger ones are handled like
-       the first, until none is left.
+    1. What the group has in common is found, and all are compared with the text that
+       differs least from it.
+    2. Two similar texts either share a difference from what is common, a k-mer that both
+       add or both lack, or both are similar to that text, as it differs no more than either
+       (see ``size``). So where one of them isn't, they meet in a group of texts that share a
+       difference. Groups of up to TOGETHER texts are compared in one task each; larger ones
+       are handled like the first, until none is left. A group's shared difference belongs
+       to what it has in common, so texts differ less in every round.
     """
     sketched = scratch.write(
         map_slices(texts, _sketch, {"content": "binary", "bands": "array<long>"}).distinct()
@@ -300,28 +305,30 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     wanted = texts.join(involved.hint("merge"), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
     kmers = scratch.write(map_slices(wanted, _kmers, {"content": "binary", "kmers": "array<long>"}))
     links = texts.select(F.col("content").alias("a"), F.col("content").alias("b")).limit(0)
-    while not pairs.isEmpty():
+    for _ in range(MOST_ROUNDS):
+        if pairs.isEmpty():
+            return links
         first = _checked(pairs, kmers, scratch)
         own = scratch.write(_against_the_group(first, scratch))
-        nearest = own.groupBy("group").agg(
-            F.min(F.struct("size", "content")).alias("least")
-        )
+        nearest = own.groupBy("group").agg(F.min(F.struct("size", "content")).alias("least"))
         seconds = scratch.write(
-            own.select("group", "content")
-            .join(nearest.select("group", F.col("least.content").alias("second")).hint("merge"), "group")
-            .filter("content <> second AND second <> `group`")
+            own.select("group", "content").join(
+                nearest.select("group", F.col("least.content").alias("second")).hint("merge"), "group"
+            )
         )
-        again = seconds.select(F.col("content").alias("member"), F.col("second").alias("centre"))
+        again = seconds.filter("content <> second AND second <> `group`")
+        again = again.select(F.col("content").alias("member"), F.col("second").alias("centre"))
         second = _checked(again.distinct(), kmers, scratch)
         for checked in (first, second):
             links = links.union(checked.filter("linked").select("member", "centre"))
-        parts = scratch.write(_parts(own, seconds, second))
-        sizes = scratch.write(parts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+        parts = scratch.write(_parts(own, seconds, first.unionByName(second)))
+        open_ = parts.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
+        sizes = scratch.write(open_.filter("NOT done AND n > 1").select("key", "n"))
         small = parts.join(sizes.filter(F.col("n") <= TOGETHER), "key")
         links = links.union(_small_groups(small, kmers, scratch))
         large = parts.join(sizes.filter(F.col("n") > TOGETHER), "key").select("key", "content")
         pairs = scratch.write(_centred(large, scratch))
-    return links
+    raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
 
 def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
@@ -347,35 +354,22 @@ def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> Dat
 
 
 def _parts(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
-    """Groups (key) of texts (content) that add the same k-mers, where one of them
-    matches neither centre of its group."""
-    matched = checked.filter("linked").select(
-        F.col("member").alias("content"), F.col("centre").alias("second"), F.lit(True).alias("also")
-    )
-    tried = seconds.join(matched.hint("merge"), ["content", "second"], "left")
-    centres = tried.select("group", F.col("second").alias("content")).distinct()
-    rest = (
-        own.filter((F.col("content") != F.col("group")) & (F.size("own") > 0))
-        .join(centres.hint("merge"), ["group", "content"], "left_anti")
-        .join(tried.select("group", "content", "also").hint("merge"), ["group", "content"], "left")
+    """Groups (key) of texts (content) that share a difference from what their group has in
+    common; ``matched`` tells whether a text is similar to the one that differs least."""
+    linked = checked.filter("linked").select(
+        F.col("member").alias("content"), F.col("centre").alias("second"), F.lit(True).alias("linked")
     )
-    least = F.array(*[F.array_min(F.transform("own", _hashed(i))) for i in range(ADDED)])
-    keys = [
-        F.xxhash64("group", F.lit(i), F.lit(j), F.col("least")[i], F.col("least")[j])
-        for i, j in combinations(range(ADDED), 2)
-    ]
-    parts = rest.withColumn("least", least).select(
-        F.explode(F.array(*keys)).alias("key"),
-        "content",
-        (F.col("matched") | F.coalesce("also", F.lit(False))).alias("matched"),
+    tried = seconds.filter("content <> second").join(
+        linked.distinct().hint("merge"), ["content", "second"], "left"
     )
-    open_ = parts.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
-    open_ = open_.filter("NOT done AND n > 1").select("key")
-    return parts.join(open_.hint("merge"), "key").select("key", "content")
+    told = own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
 
+    def keys(side: str) -> Column:
+        return F.transform(side, lambda kmer: F.xxhash64("group", F.lit(side), kmer))
 
-def _hashed(seed: int) -> Callable[[Column], Column]:
-    return lambda x: F.xxhash64(F.lit(seed), x)
+    return told.select(
+        F.explode(F.concat(keys("own"), keys("lacks"))).alias("key"), "content", F.coalesce("linked", F.lit(False)).alias("matched")
+    )
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id") -> DataFrame:
