@@ -25,9 +25,8 @@ def text_hash(word: str) -> int:
     return signed(xxhash.xxh64(word.encode(), seed=42).intdigest()) % imatch.HASHES
 
 
-def part_hash(part: int, term: int) -> int:
-    seed = xxhash.xxh64(part.to_bytes(4, "little"), seed=42).intdigest()
-    return xxhash.xxh64(term.to_bytes(8, "little"), seed=seed).intdigest()
+def again(value: int, seed: int, width: int = 8) -> int:
+    return xxhash.xxh64(value.to_bytes(width, "little", signed=True), seed=seed).intdigest()
 
 
 def terms(text: str) -> set[int]:
@@ -39,24 +38,23 @@ def md5(text: str) -> str:
 
 
 def fingerprint(text: str, lexicon: set[int]) -> str:
-    mine = sorted(terms(text) & lexicon)
-    if not mine:
-        return "=" + md5(text)
-    rate = min(int(math.log2(len(mine))), imatch.LAST_RATE)
-    levels = []
+    mine = sorted(signed(again(t, 42)) for t in terms(text) & lexicon)
+    rate = min(int(math.log2(max(len(mine) / imatch.PARTS, 1))), imatch.LAST_RATE)
+    hashes = []
     for r in range(rate, rate + imatch.RATES):
-        kept = [[t for t in mine if part_hash(i, t) % (1 << r) == 0] for i in range(imatch.PARTS)]
-        hashes = [md5(" ".join(map(str, k)))[: imatch.DIGITS] if k else "-" for k in kept]
-        levels.append(":".join([str(r), *hashes]))
-    return " ".join(levels)
+        for part in range(imatch.PARTS):
+            kept = [t for t in mine if t % imatch.PARTS == part and t // imatch.PARTS % (1 << r) == 0]
+            value = again(part, again(r, 42, 4), 4)
+            for t in kept:
+                value = again(t, value)
+            if kept:
+                hashes.append(f"{value % (1 << 32):08X}")
+    return " ".join(hashes) or "=" + md5(text)
 
 
 def likeness(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    x, y = ({p.split(":")[0]: p.split(":")[1:] for p in f.split(" ")} for f in (a, b))
-    pairs = [p for r in x if r in y for p in zip(x[r], y[r], strict=True) if p != ("-", "-")]
-    return sum(p[0] == p[1] for p in pairs) / len(pairs) if pairs else 0.0
+    x, y = set(a.split(" ")), set(b.split(" "))
+    return len(x & y) / len(x | y)
 
 
 def plain(rows: list[tuple]) -> list[tuple]:

@@ -18,18 +18,21 @@ LEAST, MOST, LEAST_DOCS = 0.0005, 0.02, 2
 #: Hashes that terms are told apart by. A document's terms are few beside them, so what shares
 #: the hash of a term of the lexicon adds a share far below LEAST, at any number of documents.
 HASHES = 1 << 24
-#: Random parts of the lexicon at each rate, rates that a fingerprint tells of, and the rates
-#: there are: each keeps half of the terms that the one before keeps.
-PARTS, RATES, LAST_RATE = 16, 4, 14
-#: Digits of one hash of a fingerprint.
-DIGITS = 6
+#: Random parts that the lexicon falls into, rates that a fingerprint tells of, and the last
+#: rate: each keeps half of the terms that the one before keeps.
+PARTS, RATES, LAST_RATE = 16, 4, 20
 WORD = r"[\p{L}\p{M}\p{N}]+"
 
 
 def _hashes(text: Column) -> Column:
     """The distinct hashes of a text's terms: lower-cased runs of letters, marks and digits."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
-    return F.array_distinct(F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(HASHES))))
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda x: F.xxhash64(x).bitwiseAND(F.lit(HASHES - 1))))
+
+
+def _within(term: Column) -> Column:
+    """The place of a hash's bit among the 64 of its number."""
+    return term.bitwiseAND(F.lit(63)).cast("int")
 
 
 def fit_lexicon(texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -44,9 +47,9 @@ def fit_lexicon(texts: DataFrame, scratch: Scratch) -> DataFrame:
     counts = texts.select(F.explode(_hashes(F.col("text"))).alias("term")).groupBy("term").count()
     fewest, most = max(LEAST_DOCS, LEAST * total), max(LEAST_DOCS, MOST * total)
     known = counts.filter(F.col("count").between(fewest, most))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("term", F.lit(64)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _within(F.col("term")))
     words = scratch.write(
-        known.groupBy(F.floor(F.col("term") / F.lit(64)).alias("id")).agg(F.bit_or(bit).alias("bits"))
+        known.groupBy(F.shiftright("term", 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
     )
     every = texts.sparkSession.range(HASHES // 64).join(words, "id", "left")
     pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
@@ -56,69 +59,61 @@ def fit_lexicon(texts: DataFrame, scratch: Scratch) -> DataFrame:
 def with_fingerprint(rows: DataFrame, text: str, lexicon: DataFrame, name: str) -> DataFrame:
     """``rows`` and the fingerprint of the column ``text``.
 
-    It tells the rate of its parts, as a number, and the hash of the document's sorted terms
-    in each part, ``-`` if there is none: for RATES rates, chosen by the number of terms such
-    that parts are left with about one of them. A text without a term of the lexicon has its
-    own digest instead, so that only equal ones agree.
+    The lexicon falls into PARTS random parts, and each rate keeps a random half of the terms
+    that the one before keeps. A text's fingerprint has one hash for each part and each of
+    RATES rates that hold terms of it: of the rate, the part and the sorted terms. The first
+    rate depends on the number of the text's terms, such that one or two of them are left in
+    a part. A text without a term of the lexicon has its own digest instead, so that only
+    equal ones agree.
     """
 
     def listed(term: Column) -> Column:
-        word = F.get(F.col("lexicon bits"), F.floor(term / F.lit(64)).cast("int"))
-        return F.getbit(word, F.pmod(term, F.lit(64)).cast("int")) == 1
+        word = F.get(F.col("lexicon bits"), F.shiftright(term, 6).cast("int"))
+        return F.getbit(word, _within(term)) == 1
 
     # The bits are a constant that the optimizer puts in where they are used once.
     terms, rate, parts = f"{name} terms", f"{name} rate", f"{name} parts"
     found = rows.withColumn("lexicon bits", lexicon.select("bits").scalar())
-    kept = F.array_sort(F.filter(_hashes(F.col(text)), listed))
-    found = found.withColumn(terms, kept).drop("lexicon bits")
-    size = F.greatest(F.size(terms), F.lit(1)).cast("double")
+    # Hashed once more: the last bits of the new hash tell the part, those before it the rate.
+    kept = F.transform(F.filter(_hashes(F.col(text)), listed), lambda x: F.xxhash64(x))
+    found = found.withColumn(terms, F.array_sort(kept)).drop("lexicon bits")
+    size = F.greatest(F.size(terms) / F.lit(PARTS), F.lit(1.0))
     found = found.withColumn(rate, F.least(F.floor(F.log2(size)), F.lit(LAST_RATE)).cast("int"))
 
-    def drawn(some: Column, number: Column, more: Column) -> Column:
-        """The terms whose hash, another one for each part, ends in as many zeros as the rate says."""
-        mask = (F.call_function("shiftleft", F.lit(1), F.col(rate) + more) - 1).cast("long")
-        return F.filter(some, lambda x: F.xxhash64(number, x).bitwiseAND(mask) == 0)
-
-    def hashed(some: Column) -> Column:
-        text = F.array_join(F.transform(some, lambda x: x.cast("string")), " ")
-        return F.when(F.size(some) == 0, "-").otherwise(F.substring(F.md5(text), 1, DIGITS))
-
-    # The parts of a rate lie within those of the rate before it.
-    first = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: drawn(F.col(terms), i, F.lit(0)))
-    found = found.withColumn(parts, first)
-    levels = F.transform(
-        F.sequence(F.lit(0), F.lit(RATES - 1)),
-        lambda more: F.concat_ws(
-            ":",
-            (F.col(rate) + more).cast("string"),
-            F.transform(F.col(parts), lambda some, i: hashed(drawn(some, i, more))),
-        ),
-    )
-    whole = F.concat(F.lit("="), F.md5(F.col(text)))
-    fingerprint = F.when(F.size(terms) == 0, whole).otherwise(F.array_join(levels, " "))
-    return found.withColumn(name, fingerprint).drop(terms, rate, parts)
-
+    def drawn(some: Column, rate: Column) -> Column:
+        """The terms that a rate keeps: those whose hash has as many zeros there."""
+        zeros = (F.call_function("shiftleft", F.lit(PARTS).cast("long"), rate) - PARTS).cast("long")
+        return F.filter(some, lambda x: x.bitwiseAND(zeros) == 0)
 
-def likeness(a: Column, b: Column) -> Column:
-    """The share of equal hashes among the parts that hold a term of either text, over the
-    rates that both fingerprints tell of; 1 for equal fingerprints, 0 without a common rate.
-    """
+    def within(some: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(PARTS - 1)),
+            lambda i: F.filter(some, lambda x: x.bitwiseAND(F.lit(PARTS - 1)) == i),
+        )
 
-    def told(fingerprint: Column) -> Column:
-        return F.transform(F.split(fingerprint, " "), lambda x: F.split(x, ":"))
+    def hashed(some: Column, rate: Column, part: Column) -> Column:
+        value = F.xxhash64(rate, part, some).bitwiseAND(F.lit((1 << 32) - 1))
+        # One more digit in front keeps zeros; it is cut off.
+        return F.when(F.size(some) > 0, F.substring(F.hex(value.bitwiseOR(F.lit(1 << 32))), 2, 8))
 
-    def of_rate(levels: Column, rate: Column) -> Column:
-        return F.get(F.filter(levels, lambda x: F.get(x, F.lit(0)) == rate), F.lit(0))
+    found = found.withColumn(parts, within(drawn(F.col(terms), F.col(rate))))
+    hashes = F.flatten(
+        F.transform(
+            F.sequence(F.col(rate), F.col(rate) + (RATES - 1)),
+            lambda r: F.transform(F.col(parts), lambda some, i: hashed(drawn(some, r), r, i)),
+        )
+    )
+    # array_join leaves out nulls, which stand for parts without a term.
+    joined, whole = F.array_join(hashes, " "), F.concat(F.lit("="), F.md5(F.col(text)))
+    fingerprint = F.when(joined == "", whole).otherwise(joined)
+    return found.withColumn(name, fingerprint).drop(terms, rate, parts)
 
-    def both(x: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(x, 2, PARTS).alias("a"), F.slice(of_rate(told(b), F.get(x, F.lit(0))), 2, PARTS).alias("b"))
-        return F.coalesce(pairs, F.array().cast("array<struct<a:string,b:string>>"))
 
-    pairs = F.flatten(F.transform(told(a), both))
-    held = F.size(F.filter(pairs, lambda p: (p["a"] != "-") | (p["b"] != "-")))
-    equal = F.size(F.filter(pairs, lambda p: (p["a"] != "-") & (p["a"] == p["b"])))
-    share = F.when(held > 0, equal.cast("double") / held.cast("double")).otherwise(F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(share)
+def likeness(a: Column, b: Column) -> Column:
+    """The share of the hashes of two fingerprints that both have: 1 for equal ones."""
+    first, second = F.split(a, " "), F.split(b, " ")
+    both = F.size(F.array_intersect(first, second)).cast("double")
+    return both / F.size(F.array_union(first, second)).cast("double")
 
 
 def _halves(docs: DataFrame, key: str, scratch: Scratch) -> DataFrame:
