@@ -29,8 +29,9 @@ KEPT, ROWS, BANDS = 2, 2, 16
 #: Texts that share as many of all k-mers with their group's centre, in any order, tell what the
 #: group has in common, and are compared within the group.
 NEAR = 0.4
-#: Texts that one task compares with each other.
-TOGETHER = 32
+#: Texts that one task compares with each other, and smallest hashes of a text's differences,
+#: any two of which are a key where a single difference is shared by more texts than that.
+TOGETHER, LEAST = 32, 9
 #: Rounds of groups within groups, each of which lacks its own centre.
 MOST_ROUNDS = 40
 #: Numbers of a text's matrix of hashes that are handled at once.
@@ -288,10 +289,10 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
        differs least from it.
     2. Two similar texts either share a difference from what is common, a k-mer that both
        add or both lack, or both are similar to that text, as it differs no more than either
-       (see ``size``). So where one of them isn't, they meet in a group of texts that share a
-       difference. Groups of up to TOGETHER texts are compared in one task each; larger ones
-       are handled like the first, until none is left. A group's shared difference belongs
-       to what it has in common, so texts differ less in every round.
+       (see ``size``). So where one of them isn't, all texts that share a difference are
+       compared, if they are at most TOGETHER. Differences that more texts share count in
+       pairs: texts that agree in two of the LEAST smallest hashes of their differences form
+       groups, and large ones of these are handled like the first, until none is left.
     """
     sketched = scratch.write(
         map_slices(texts, _sketch, {"content": "binary", "bands": "array<long>"}).distinct()
@@ -322,11 +323,11 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
         for checked in (first, second):
             links = links.union(checked.filter("linked").select("member", "centre"))
         parts = scratch.write(_parts(own, seconds, first.unionByName(second)))
-        open_ = parts.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
-        sizes = scratch.write(open_.filter("NOT done AND n > 1").select("key", "n"))
-        small = parts.join(sizes.filter(F.col("n") <= TOGETHER), "key")
-        links = links.union(_small_groups(small, kmers, scratch))
-        large = parts.join(sizes.filter(F.col("n") > TOGETHER), "key").select("key", "content")
+        open_ = parts.groupBy("single", "key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
+        sizes = scratch.write(open_.filter("NOT done AND n > 1").select("single", "key", "n"))
+        found = parts.join(sizes, ["single", "key"])
+        links = links.union(_small_groups(found.filter(F.col("n") <= TOGETHER), kmers, scratch))
+        large = found.filter((F.col("n") > TOGETHER) & ~F.col("single")).select("key", "content")
         pairs = scratch.write(_centred(large, scratch))
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
@@ -354,21 +355,37 @@ def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> Dat
 
 
 def _parts(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
-    """Groups (key) of texts (content) that share a difference from what their group has in
-    common; ``matched`` tells whether a text is similar to the one that differs least."""
-    linked = checked.filter("linked").select(
-        F.col("member").alias("content"), F.col("centre").alias("second"), F.lit(True).alias("linked")
-    )
+    """Groups (key) of texts (content) that share a ``single`` difference from what their group
+    has in common, or two of their smallest hashes of differences; ``matched`` tells whether a
+    text is similar to the one that differs least, for pairs of hashes or to the centre."""
+    linked = checked.filter("linked").select(F.col("member").alias("content"), F.col("centre").alias("other"))
+    linked = linked.distinct().withColumn("linked", F.lit(True))
     tried = seconds.filter("content <> second").join(
-        linked.distinct().hint("merge"), ["content", "second"], "left"
+        linked.select("content", F.col("other").alias("second"), "linked").hint("merge"), ["content", "second"], "left"
+    )
+    to_centre = linked.select("content", F.col("other").alias("group"), F.col("linked").alias("also"))
+    told = (
+        own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
+        .join(to_centre.hint("merge"), ["group", "content"], "left")
+        .withColumn("linked", F.coalesce("linked", F.lit(False)))
+        .withColumn("also", F.col("linked") | F.coalesce("also", F.lit(False)) | (F.col("group") == F.col("content")))
     )
-    told = own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
 
     def keys(side: str) -> Column:
         return F.transform(side, lambda kmer: F.xxhash64("group", F.lit(side), kmer))
 
-    return told.select(
-        F.explode(F.concat(keys("own"), keys("lacks"))).alias("key"), "content", F.coalesce("linked", F.lit(False)).alias("matched")
+    def hashed(seed: int) -> Column:
+        return F.array_min(F.transform("keys", lambda x: F.xxhash64(F.lit(seed), x)))
+
+    keyed = told.withColumn("keys", F.concat(keys("own"), keys("lacks"))).filter("size(keys) > 0")
+    keyed = keyed.withColumn("least", F.array(*map(hashed, range(LEAST))))
+    pairs = [
+        F.xxhash64("group", F.lit(i), F.lit(j), F.col("least")[i], F.col("least")[j])
+        for i, j in combinations(range(LEAST), 2)
+    ]
+    singles = keyed.select(F.explode("keys").alias("key"), "content", F.col("linked").alias("matched"), F.lit(True).alias("single"))
+    return singles.unionByName(
+        keyed.select(F.explode(F.array(*pairs)).alias("key"), "content", F.col("also").alias("matched"), F.lit(False).alias("single"))
     )
 
 
