@@ -322,13 +322,18 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
         second = _checked(again.distinct(), kmers, scratch)
         for checked in (first, second):
             links = links.union(checked.filter("linked").select("member", "centre"))
-        parts = scratch.write(_parts(own, seconds, first.unionByName(second)))
-        open_ = parts.groupBy("single", "key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
-        sizes = scratch.write(open_.filter("NOT done AND n > 1").select("single", "key", "n"))
-        found = parts.join(sizes, ["single", "key"])
-        links = links.union(_small_groups(found.filter(F.col("n") <= TOGETHER), kmers, scratch))
-        large = found.filter((F.col("n") > TOGETHER) & ~F.col("single")).select("key", "content")
-        pairs = scratch.write(_centred(large, scratch))
+        told = scratch.write(_differences(own, seconds, first.unionByName(second)))
+        single = told.select("group", "content", F.explode("keys").alias("key"), F.col("linked").alias("matched"))
+        sizes = _open_keys(single, scratch)
+        rare = single.join(sizes.filter(F.col("n") <= TOGETHER), "key")
+        # Only texts with a difference that many share need to meet by pairs as well.
+        often = single.join(sizes.filter(F.col("n") > TOGETHER).select("key").hint("merge"), "key")
+        pair = _pair_keys(told, often.select("group", "content").distinct())
+        parts = scratch.write(pair)
+        found = parts.join(_open_keys(parts, scratch), "key")
+        close = found.filter(F.col("n") <= TOGETHER).select("key", "content")
+        links = links.union(_small_groups(rare.select("key", "content").union(close), kmers, scratch))
+        pairs = scratch.write(_centred(found.filter(F.col("n") > TOGETHER).select("key", "content"), scratch))
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
 
@@ -354,39 +359,52 @@ def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> Dat
     return scratch.write(map_slices(groups, setup, {"a": "binary", "b": "binary"}))
 
 
-def _parts(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
-    """Groups (key) of texts (content) that share a ``single`` difference from what their group
-    has in common, or two of their smallest hashes of differences; ``matched`` tells whether a
-    text is similar to the one that differs least, for pairs of hashes or to the centre."""
-    linked = checked.filter("linked").select(F.col("member").alias("content"), F.col("centre").alias("other"))
-    linked = linked.distinct().withColumn("linked", F.lit(True))
-    tried = seconds.filter("content <> second").join(
-        linked.select("content", F.col("other").alias("second"), "linked").hint("merge"), ["content", "second"], "left"
-    )
-    to_centre = linked.select("content", F.col("other").alias("group"), F.col("linked").alias("also"))
-    told = (
-        own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
-        .join(to_centre.hint("merge"), ["group", "content"], "left")
-        .withColumn("linked", F.coalesce("linked", F.lit(False)))
-        .withColumn("also", F.col("linked") | F.coalesce("also", F.lit(False)) | (F.col("group") == F.col("content")))
-    )
+def _open_keys(parts: DataFrame, scratch: Scratch) -> DataFrame:
+    """key and n (texts) of the groups that have several texts, not all of them matched."""
+    groups = parts.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
+    return scratch.write(groups.filter("NOT done AND n > 1").select("key", "n"))
+
+
+def _differences(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
+    """group, content and keys of its differences from what the group has in common; ``linked``
+    tells whether it is similar to the text that differs least, ``also`` to that or the centre."""
+    similar_to = checked.filter("linked").select(F.col("member").alias("content"), F.col("centre").alias("other"))
+    similar_to = similar_to.distinct().withColumn("yes", F.lit(True))
+    nearest = similar_to.select("content", F.col("other").alias("second"), F.col("yes").alias("linked"))
+    centre = similar_to.select("content", F.col("other").alias("group"), F.col("yes").alias("also"))
+    tried = seconds.filter("content <> second").join(nearest.hint("merge"), ["content", "second"], "left")
 
     def keys(side: str) -> Column:
         return F.transform(side, lambda kmer: F.xxhash64("group", F.lit(side), kmer))
 
+    none = F.lit(False)
+    return (
+        own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
+        .join(centre.hint("merge"), ["group", "content"], "left")
+        .select(
+            "group",
+            "content",
+            F.concat(keys("own"), keys("lacks")).alias("keys"),
+            F.coalesce("linked", none).alias("linked"),
+            (F.coalesce("linked", none) | F.coalesce("also", none) | (F.col("group") == F.col("content"))).alias("also"),
+        )
+    )
+
+
+def _pair_keys(told: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, content and matched: two of the smallest hashes of a text's differences are a key."""
+
     def hashed(seed: int) -> Column:
         return F.array_min(F.transform("keys", lambda x: F.xxhash64(F.lit(seed), x)))
 
-    keyed = told.withColumn("keys", F.concat(keys("own"), keys("lacks"))).filter("size(keys) > 0")
-    keyed = keyed.withColumn("least", F.array(*map(hashed, range(LEAST))))
-    pairs = [
+    least = told.join(wanted.hint("merge"), ["group", "content"]).select(
+        "group", "content", F.col("also").alias("matched"), F.array(*map(hashed, range(LEAST))).alias("least")
+    )
+    keys = [
         F.xxhash64("group", F.lit(i), F.lit(j), F.col("least")[i], F.col("least")[j])
         for i, j in combinations(range(LEAST), 2)
     ]
-    singles = keyed.select(F.explode("keys").alias("key"), "content", F.col("linked").alias("matched"), F.lit(True).alias("single"))
-    return singles.unionByName(
-        keyed.select(F.explode(F.array(*pairs)).alias("key"), "content", F.col("also").alias("matched"), F.lit(False).alias("single"))
-    )
+    return least.select(F.explode(F.array(*keys)).alias("key"), "content", "matched")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id") -> DataFrame:
