@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+from collections import Counter
 
 from touchline.llm import secrets as S
 from touchline.llm.secrets import base_spans, evidence, randomness, scan_secrets
@@ -146,3 +147,22 @@ def test_all_encodings_short_keys_and_rests_of_tokens(docs, scratch):
     assert found[50] == [("random", 4, start), ("hex", start, end), ("random", end, 4 + 144)]
     assert not any(found[i] for i in range(40, 60) if i != 50)
     assert S.free_tokens("x" * 12 + " " + "y" * 11, []) == [(0, 12)]
+
+
+def test_words_are_counted_in_all_whole_texts(docs, scratch, monkeypatch):
+    rows = [(i, "Abc abc " * 400 + f"word{i} late") for i in range(2100)] + [(None, None), (7, "late x" * 2 + "K")]
+    wanted = {"abc": 2100 * 800, "late": 2101, "xlate": 1}
+    counts = scratch.write(S.count_words(docs(rows)))
+    assert {r.word: r.n for r in counts.collect()} == {**wanted, "xk": 1}
+    few = counts.filter("word <> 'abc'")
+    assert Counter(S.words_to_draw_from(few, 2103)) == Counter(["late"] * 2101 + ["xlate", "xk"] + S.REFERENCE)
+    # A share of each, beyond so many.
+    monkeypatch.setattr(S, "DRAWN", 1000)
+    drawn = Counter(S.words_to_draw_from(counts, 2100 * 800 + 2103))
+    assert 998 <= drawn["abc"] <= 999 and 1 <= drawn["late"] <= 2
+
+
+def test_rare_words_keep_their_weight(spark, monkeypatch):
+    monkeypatch.setattr(S, "DRAWN", 1000)
+    counts = spark.range(10_000).selectExpr("concat('w', id) AS word", "1L AS n")
+    assert 900 < len(S.words_to_draw_from(counts, 10_000)) - len(S.REFERENCE) < 1100

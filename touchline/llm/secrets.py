@@ -3,7 +3,8 @@
 A token is random if a battery of tests (uniform use of its alphabet, runs about
 the median, serial correlation) can't tell it from noise. Short words pass such
 tests by chance. So each token's evidence is compared with that of text of like
-length, short words of the corpus put together at random, and the false
+length, short words of the corpus put together at random, each as often as all
+whole texts have it, and the false
 discoveries are held to a share among the tokens of one encoding and length.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +27,8 @@ KINDS = ("assign", "access", "hex", "random")
 FALSE_SHARE = 0.01
 #: Steps of the evidence, and tokens of one class of length.
 STEPS, LENGTH_STEP, LONGEST = 100, 4, 64
-#: Texts that words are taken from, characters of each, and made-up tokens of each length.
-NULL_TEXTS, NULL_CHARS, NULL_TOKENS = 2000, 2000, 10_000
+#: Made-up tokens of each length, and words of the counted ones that they are drawn from.
+NULL_TOKENS, DRAWN = 10_000, 1 << 19
 #: Made-up tokens beyond which their tail is taken as exponential.
 TAIL = 100
 
@@ -197,20 +199,34 @@ def _setup(key: str) -> Work:
     return work
 
 
-def sampled_words(docs: DataFrame, number: int, key: str) -> list[str]:
-    """Short words of the start of about NULL_TEXTS of ``number`` texts drawn by a hash, as
-    often as they stand there, and those of REFERENCE. Words that are tokens are not
-    among them. Repeated rows count once."""
-    draw = F.xxhash64(F.lit(9), key, "text")
-    share = int(min(1.0, NULL_TEXTS / max(1, number)) * (1 << 30))
-    rows = (
-        docs.filter(F.col("text").isNotNull() & (F.pmod(draw, F.lit(1 << 30)) < share))
-        .select(draw.alias("draw"), F.substring("text", 1, NULL_CHARS).alias("text"))
-        .distinct()
-        .collect()
-    )
-    texts = sorted(r["text"] for r in rows)
-    return [w.lower() for x in texts for w in _WORD.findall(x)] + REFERENCE
+def _count_words() -> Work:
+    def work(batch: pa.RecordBatch) -> Rows:
+        texts = (x or "" for x in batch.column("text").to_pylist())
+        counts: Counter[str] = Counter()
+        for word, n in Counter(_WORD.findall("\n".join(texts))).items():
+            counts[word.lower()] += n
+        return {"word": list(counts), "n": list(counts.values())}
+
+    return work
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """How often each short word, in lower case, stands in all whole texts. Words that are
+    tokens are not among them, and repeated rows count as often as they are there."""
+    counts = map_slices(docs.select("text"), _count_words, {"word": "string", "n": "long"})
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def words_to_draw_from(counts: DataFrame, total: int) -> list[str]:
+    """Every word as often as it was counted among ``total``, and those of REFERENCE.
+
+    Where that makes more than DRAWN words, each comes as often as its share of them, whose
+    fraction is rounded up with that chance: a rare word has its weight as well.
+    """
+    chance = F.pmod(F.xxhash64(F.lit(9), "word"), F.lit(1 << 30)) / (1 << 30)
+    copies = F.floor(F.col("n") * min(1.0, DRAWN / max(1, total)) + chance)
+    rows = counts.select("word", copies.alias("copies")).filter("copies > 0").collect()
+    return [r["word"] for r in sorted(rows) for _ in range(r["copies"])] + REFERENCE
 
 
 def made_up(words: list[str], length: int, alphabet: int) -> list[str]:
@@ -287,11 +303,13 @@ def scan_secrets(docs: DataFrame, scratch: Scratch, key: str = "doc_id") -> Data
     random token has 12 characters or more, and ends where another span begins. A
     null text counts as empty and has no span. Rows are scanned one by one, repeated
     rows repeat, and only ``text`` and ``key`` are read. What the texts hold is kept in
-    a scratch table for the corpus-wide thresholds; a bounded sample of their words
-    is read as well.
+    a scratch table for the corpus-wide thresholds, and so are the counts of all their
+    short words.
     """
     found = scratch.write(map_slices(docs.select(key, "text"), lambda: _setup(key), SPANS))
-    least = fit_thresholds(found, sampled_words(docs, found.count(), key)).least
+    counts = scratch.write(count_words(docs))
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    least = fit_thresholds(found, words_to_draw_from(counts, total)).least
     zipped = F.arrays_zip("starts", "kinds", "ends", "classes", "alphabets", "levels")
 
     def kept(x: Column) -> Column:
