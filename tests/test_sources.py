@@ -6,12 +6,14 @@ import pytest
 from helpers import day, dicts
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from touchline import sources as src
 from touchline.functions.dates import one_day
 from touchline.plans import run_refresh
 from touchline.plans.newest import LATEST_TRANSFERS, latest_transfers
 from touchline.session import scratch_dir
+from touchline.sources import cleaning
 
 AS_OF = "2001-06-30"
 FAILURES = (PySparkException, Py4JJavaError)
@@ -214,6 +216,29 @@ def test_types_of_unlisted_columns_follow_from_all_rows(spark):
     assert src.infer_types(df.limit(0), df.columns) == {}
 
 
+def test_only_texts_like_whole_numbers_are_cast_to_find_a_kind(spark):
+    """A cast that fails raises and catches an error for each value."""
+    texts = [
+        None, "", " ", "-", "+", "+-1", "1", "-1", "+1", " 12\t", "1\n", "\n1\n\n", "\x01 12", "12\x7f", "1 2", "007",
+        "9223372036854775807", "9223372036854775808", "-9223372036854775808", "9" * 30, "1.", ".5", "1.0", "-2.50",
+        "1e5", "1E-3", "1e999", ".", "e5", "1.2.3", "nan", "Infinity", "1f", "1d", "0x10", "x1", "2001-01-02", "\u0661",
+        "\u00a01", "1L", "12.0 ", "\x1f1.5",
+    ]
+    text = F.col("t")
+    by_casts = (
+        F.when(text.isNull(), None)
+        .when(text.try_cast("bigint").isNotNull(), 0)
+        .when(text.rlike(cleaning.WHOLE) | ~text.rlike(cleaning.NUMBER), 2)
+        .when(text.try_cast("double").isNotNull(), 1)
+        .otherwise(2)
+    )
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", cleaning.kind(text).alias("kind"), by_casts.alias("wanted")).collect():
+        assert row.kind == row.wanted, repr(row.t)
+    plan = df.select(cleaning.kind(text).alias("kind"))._jdf.queryExecution().analyzed().toString()
+    assert plan.index("RLIKE") < plan.lower().index("try_cast")
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("bad", ["2024-13-01", "31.08.2024", ""])
 def test_a_bad_reference_day_raises(spark, conf, ansi, bad):
