@@ -495,7 +495,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = []
     for name, df in Sources(spark, sf_dir).items():
         for mode, parts in zip(("overwrite", "append"), PARTS, strict=True):
-            audit = src.load_table(df.repartition(parts), name, store, mode)
+            audit = src.load_table(df, name, store, mode, parts=parts)
             results.append((audit.table, mode, audit.success, audit.chunks, audit.rows))
     return spark.createDataFrame(
         results,

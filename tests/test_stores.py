@@ -235,3 +235,22 @@ def test_a_repeated_key_raises_in_tables_of_text_too(spark, store, tmp_path):
         with pytest.raises(ValueError, match="not unique"):
             src.load_all(spark, str(tmp_path), store, specs={"t": spec})
         assert store.read(spark, "t").count() == 1
+
+
+def test_a_load_in_parts_needs_no_task_that_takes_a_part(spark, store):
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "id % 3 AS x")
+    first = src.load_table(df, "t", store, parts=3)
+    more = src.load_table(df, "t", store, "append", parts=2)
+    assert (first.success, first.chunks, first.rows) == (True, 3, 1000)
+    assert (more.success, more.chunks, more.rows) == (True, 2, 1000)
+    # Each of the 8 tasks wrote its own rows of each part.
+    files = store.files(spark, "t").select(F.col("_metadata.file_path")).distinct().count()
+    assert files == 8 * 3 + 8 * 2
+    assert sorted(r.id for r in store.read(spark, "t").collect()) == sorted([*range(1000)] * 2)
+    again = src.load_table(df.coalesce(1).limit(2), "t", store, parts=3)
+    assert (again.chunks, again.rows, store.read(spark, "t").count()) == (2, 2, 2)
+    none = src.load_table(df.limit(0), "u", store, parts=3)
+    assert (none.success, none.chunks, none.rows) == (True, 0, 0)
+    for bad in ({"parts": 0}, {"parts": 2, "partition_by": ["x"]}, {"parts": 2, "mode": "append", "load_id": "a"}):
+        with pytest.raises(ValueError, match="parts"):
+            src.load_table(df, "t", store, **bad)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -23,8 +24,8 @@ from touchline.together import run_together
 
 @dataclass(frozen=True)
 class LoadResult:
-    """The audit of one load: files and rows that it wrote, and whether all rows that
-    reached the writers are in those files."""
+    """The audit of one load: files (or parts, of a load in parts) and rows that it wrote, and
+    whether all rows that reached the writers are in those files."""
 
     table: str
     success: bool
@@ -35,21 +36,25 @@ class LoadResult:
         return f"{self.table}: success {self.success}, chunks {self.chunks}, rows {self.rows}"
 
 
-def _content(df: DataFrame) -> tuple[int, int]:
-    """Files with rows, and rows, of a table just written; no column is read."""
-    by_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+#: The partition column of tables that are loaded in parts.
+PART = "load_part"
+
+
+def _content(df: DataFrame, in_parts: bool = False) -> tuple[int, int]:
+    """Files (or parts) with rows, and rows, of a table just written; no column is read."""
+    chunk = F.col(PART if in_parts else "_metadata.file_path")
+    by_file = df.groupBy(chunk.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     row = by_file.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
     return row["files"], row["rows"] or 0
 
 
 def _replace(
-    spark: SparkSession, new: str, name: str, store: Store, schema: StructType, key: Sequence[str], written: int
-) -> LoadResult:
+    spark: SparkSession, new: str, name: str, store: Store, schema: StructType, key: Sequence[str], written: int,
+    in_parts: bool = False,
+) -> LoadResult:
     """Audit and check prepared rows, then let them replace the table; they go if that fails."""
     try:
-        files, rows = _content(store.read(spark, new, schema))
+        files, rows = _content(store.read(spark, new, schema), in_parts)
         if key:
             assert_unique(store.read(spark, new, schema), key)
         store.publish(spark, new, name)
@@ -67,6 +72,7 @@ def load_table(
     partition_by: Sequence[str] = (),
     key: Sequence[str] = (),
     load_id: str | None = None,
+    parts: int | None = None,
 ) -> LoadResult:
     """Write a table and audit what this load wrote.
 
@@ -79,8 +85,17 @@ def load_table(
     once, and loads of different ids may run side by side, each counting its own files.
     Without an id the rows are added to whatever is there, and the audit counts what came
     to be there meanwhile, so such appends must not run side by side.
+
+    With ``parts`` the rows are dealt to that many parts, each a partition of its own (see PART)
+    of any number of files, and the audit counts parts instead of files. The tasks that read the
+    rows write them, so no task takes a whole part.
     """
-    spark = df.sparkSession
+    spark, in_parts = df.sparkSession, parts is not None
+    if in_parts:
+        if partition_by or load_id is not None or parts < 1 or PART in map(str.lower, df.columns):
+            raise ValueError("1 or more parts are the only partitions, of rows without such a column")
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("string")
+        df = df.withColumn(PART, F.concat(F.lit(f"load-{uuid.uuid4().hex}-"), part))
     if load_id is not None and (partition_by or mode != "append"):
         raise ValueError("a load id makes a partition of its own, of appended rows")
     if partition_by:
@@ -88,6 +103,7 @@ def load_table(
     # Observed last, in the stage that writes: a task that is repeated after the
     # loss of an executor is counted once there.
     audit = Observation(f"load {name}")
+    partition_by = [PART] if in_parts else partition_by
     observed = df.observe(audit, F.count(F.lit(1)).alias("rows"))
     if mode == "append" and load_id is not None:
         store.append_load(observed, name, load_id)
@@ -100,14 +116,14 @@ def load_table(
             files, rows = 0, 0
     elif mode == "append":
         there = store.exists(spark, name)
-        before = _content(store.files(spark, name)) if there else (0, 0)
+        before = _content(store.files(spark, name), in_parts) if there else (0, 0)
         store.append(observed, name, partition_by)
-        after = _content(store.files(spark, name))
+        after = _content(store.files(spark, name), in_parts)
         files, rows = after[0] - before[0], after[1] - before[1]
         written = audit.get["rows"]
     elif mode == "overwrite":
         new = store.prepare(observed, name, partition_by)
-        return _replace(spark, new, name, store, df.schema, key, audit.get["rows"])
+        return _replace(spark, new, name, store, df.schema, key, audit.get["rows"], in_parts)
     else:
         raise ValueError(f"mode {mode} is neither overwrite nor append")
     return LoadResult(name, rows == written, files, written)
