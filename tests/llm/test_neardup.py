@@ -235,3 +235,30 @@ def test_components(spark, scratch):
     out = connected_components(spark.createDataFrame(links, "a long, b long"), scratch)
     assert {r.node: r.component for r in out.collect()} == {x: root(x) for x in parent}
     assert connected_components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+
+
+def test_groups_that_are_parts_of_others_bring_no_text_again(spark, scratch):
+    rng = random.Random(8)
+    groups = [rng.sample(range(30), rng.randint(2, 6)) for _ in range(40)]
+    groups += [x[:k] for x in groups[:20] for k in range(1, len(x) + 1)]
+    matched = [[rng.random() < 0.4 for _ in x] for x in groups]
+    rows = [(k, bytes([c]), m) for k, x in enumerate(groups) for c, m in zip(x, matched[k], strict=True)]
+    left = N._compared_once(spark.createDataFrame(rows, "key long, content binary, matched boolean")).collect()
+    held = {}
+    for r in left:
+        held.setdefault(r.key, set()).add(r.content[0])
+    together = {p for x in held.values() for p in combinations(sorted(x), 2)}
+    wanted = {
+        tuple(sorted((a, b)))
+        for x, flags in zip(groups, matched, strict=True)
+        for (a, m), (b, n) in combinations(zip(x, flags, strict=True), 2)
+        if not (m and n)
+    }
+    assert wanted <= together
+    assert all(x <= set(groups[k]) for k, x in held.items())
+    # One large group and all its parts: each text once.
+    big = list(range(12))
+    parts = [(0, bytes([c]), False) for c in big]
+    parts += [(1 + k, bytes([c]), False) for k in range(50) for c in rng.sample(big, 5)]
+    once = N._compared_once(spark.createDataFrame(parts, "key long, content binary, matched boolean"))
+    assert sorted((r.key, r.content[0]) for r in once.collect()) == [(0, c) for c in big]

@@ -331,17 +331,39 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
         pair = _pair_keys(told, often.select("group", "content").distinct())
         parts = scratch.write(pair)
         found = parts.join(_open_keys(parts, scratch), "key")
-        close = found.filter(F.col("n") <= TOGETHER).select("key", "content")
-        links = links.union(_small_groups(rare.select("key", "content").union(close), kmers, scratch))
+        close = found.filter(F.col("n") <= TOGETHER).select("key", "content", F.lit(False).alias("matched"))
+        links = links.union(_small_groups(rare.select("key", "content", "matched").union(close), kmers, scratch))
         pairs = scratch.write(_centred(found.filter(F.col("n") > TOGETHER).select("key", "content"), scratch))
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
 
-def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) among the texts of groups of up to TOGETHER texts."""
-    sets = members.groupBy("key").agg(F.array_sort(F.collect_list("content")).alias("texts"))
+def _compared_once(members: DataFrame) -> DataFrame:
+    """key and content: groups of ``members`` (key, content, matched) such that each pair of
+    texts that stand together in some group does so in one of these, unless both are matched.
+
+    Texts share many differences, so most groups are parts of others. A pair is left to the
+    largest group that has it, and a text to the groups that are left a pair of it.
+    """
+    texts = F.array_sort(F.collect_list(F.struct("content", "matched")))
+    sets = members.groupBy("key").agg(texts.alias("texts"))
     once = sets.groupBy("texts").agg(F.min("key").alias("key"))
-    joined = once.select("key", F.explode("texts").alias("content")).join(kmers, "content")
+    place = F.struct(F.size("texts").alias("n"), "key").alias("place")
+    pair = once.select(place, F.posexplode("texts").alias("i", "x"), "texts").select(
+        "place", "x", F.explode(F.expr("slice(texts, i + 2, size(texts))")).alias("y")
+    )
+    left = (
+        pair.filter("NOT (x.matched AND y.matched)")
+        .groupBy(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
+        .agg(F.max("place").alias("place"))
+    )
+    return left.select("place.key", F.explode(F.array("a", "b")).alias("content")).distinct()
+
+
+def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) among the texts of groups of up to TOGETHER texts. ``members`` has key,
+    content and matched: texts of a group that are matched are linked to one text already."""
+    # Written first: k-mers go along with each row.
+    joined = scratch.write(_compared_once(members)).join(kmers, "content")
     groups = joined.groupBy("key").agg(F.collect_list(F.struct("content", "kmers")).alias("texts"))
 
     def setup() -> Work:
