@@ -174,3 +174,18 @@ def test_the_query_takes_out_words_within_lines(spark, docs, tmp_path):
     docs([(1, f"one {shared} two"), (2, f"three {shared} four")]).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r.doc_id: r.text for r in QUERIES["op2_line_dedup"](spark, str(tmp_path)).collect()}
     assert found == {1: f"one {shared} two", 2: "three four"}
+
+
+def test_powers_of_a_base_are_computed_once():
+    base = int(L._BASES[0])
+    short, long = L._powers(base, 5), L._powers(base, L.KEPT_POWERS + 1)
+    assert np.shares_memory(short, L._powers(base, 1000))
+    assert [int(x) for x in short] == [pow(base, i, 1 << 64) for i in range(5)]
+    assert int(long[-1]) == pow(base, L.KEPT_POWERS, 1 << 64) and (long[:5] == short).all()
+    assert len(L._powers(base, 0)) == 0
+    # A window has the same hash wherever it stands, in texts beyond the kept powers too.
+    piece = np.arange(1, 8, dtype=np.int64) * 12345
+    hashes = np.concatenate([piece, np.zeros(L.KEPT_POWERS, np.int64), piece])
+    first = np.array([0, len(hashes) - 7])
+    assert len(set(L.window_hash(hashes, first, first + 6, base).tolist())) == 1
+    assert L.window_hash(piece, first[:1], first[:1] + 6, base) == L.window_hash(hashes, first, first + 6, base)[0]

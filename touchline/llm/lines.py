@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from touchline.llm.batches import Rows, Scratch, Work, lists, map_slices
 MIN_WORDS = 50
 #: Slots of 64 bits that mark texts; a broadcast table of this size at any size of the tables.
 SLOTS = 1 << 18
+#: Powers that a task keeps of each base of its hashes.
+KEPT_POWERS = 1 << 16
 # What parts words, the same as for lines.
 _WORD = re.compile(r"[^ \t\n\v\f\r]+")
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -91,18 +94,36 @@ def minima(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return out
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def _new_powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(np.r_[np.uint64(1), np.full(max(0, n - 1), np.uint64(base))])[:n]
 
 
+@lru_cache
+def _kept_powers(base: int) -> np.ndarray:
+    powers = _new_powers(base, KEPT_POWERS)
+    powers.setflags(write=False)
+    return powers
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n - 1; those of texts of ordinary length are kept, not to be changed."""
+    return _kept_powers(base)[:n] if n <= KEPT_POWERS else _new_powers(base, n)
+
+
+@lru_cache
+def _inverse(base: int) -> int:
+    return pow(base, -1, 1 << 64)
+
+
 def window_hash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
     """A hash of the lines of each window."""
     with np.errstate(over="ignore"):
         mixed = hashes.view(np.uint64) ^ (hashes.view(np.uint64) >> np.uint64(29))
         mixed = mixed * np.uint64(0xBF58476D1CE4E5B9) ^ base
         # Sums of line i times base ** i; a window's is shifted back to its first line.
-        sums = np.r_[np.uint64(0), np.cumsum(mixed * _powers(int(base), len(hashes)))]
-        back = _powers(pow(int(base), -1, 1 << 64), len(hashes))
+        sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(mixed * _powers(int(base), len(hashes)), out=sums[1:])
+        back = _powers(_inverse(int(base)), len(hashes))
         value = (sums[last + 1] - sums[first]) * back[first] + (last - first).astype(np.uint64)
         value = value * np.uint64(0x94D049BB133111EB)
     return (value ^ (value >> np.uint64(32))).view(np.int64)
