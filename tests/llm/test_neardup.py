@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 from itertools import combinations
 
@@ -262,3 +263,52 @@ def test_groups_that_are_parts_of_others_bring_no_text_again(spark, scratch):
     parts += [(1 + k, bytes([c]), False) for k in range(50) for c in rng.sample(big, 5)]
     once = N._compared_once(spark.createDataFrame(parts, "key long, content binary, matched boolean"))
     assert sorted((r.key, r.content[0]) for r in once.collect()) == [(0, c) for c in big]
+
+
+def test_texts_meet_by_their_rarest_differences_only(spark):
+    """Similar sets meet, as all their pairs do; those that share what many have don't."""
+    rng = random.Random(9)
+    rows, sets = [], {}
+    for f in range(8):
+        base = [f"{f}-{x}" for x in range(30)]
+        for i in range(6):
+            own = [x for x in base if rng.random() < 0.9] + [f"{f}-{i}-{x}" for x in range(rng.randrange(4))]
+            sets[bytes([f, i])] = set(own) | {f"often{x}" for x in range(20)}
+    # Texts with much of their own and a passage that all have.
+    for i in range(40):
+        sets[bytes([99, i])] = {f"alone{i}-{x}" for x in range(60)} | {f"often{x}" for x in range(20)}
+    code = {x: k for k, x in enumerate(sorted({x for s in sets.values() for x in s}))}
+    most = 12
+    for content, own in sets.items():
+        rows += [(b"g", content, most, len(own), code[x], False) for x in own]
+    frame = spark.createDataFrame(rows, "group binary, content binary, most long, all int, key long, matched boolean")
+    told = N._telling(frame).collect()
+    held = {}
+    for r in told:
+        held.setdefault(r.key, set()).add(bytes(r.content))
+    together = {p for x in held.values() for p in combinations(sorted(x), 2)}
+    near = {
+        (a, b)
+        for a, b in combinations(sorted(sets), 2)
+        if len(sets[a] - sets[b]) <= most and len(sets[b] - sets[a]) <= most
+    }
+    assert len(near) > 60 and near <= together
+    assert not any(r.content[0] == 99 for r in told)
+    sizes = {k: sum(code_of == k for s in sets.values() for code_of in map(code.get, s)) for k in held}
+    assert all(r.n == sizes[r.key] for r in told)
+
+
+def test_unlike_texts_with_a_common_passage_are_not_all_compared(docs, scratch, monkeypatch):
+    """Texts that are near by a passage that all have, and else unlike, form no small groups."""
+    rng = random.Random(10)
+    passage = text_of(rng, 120)
+    rows = [(i, f"{passage} {text_of(rng, 60)}") for i in range(120)]
+    rows += [(200 + i, f"{edited(rng, rows[0][1], 1)}") for i in range(8)]
+    compared = []
+    plain = N._compared_once
+    monkeypatch.setattr(N, "_compared_once", lambda m: compared.append(plain(m)) or compared[-1])
+    found, _ = classes(docs(rows), scratch)
+    assert found == brute(rows)
+    assert {r.content for c in compared for r in c.collect()}.isdisjoint(
+        {hashlib.md5(t.encode()).digest() for i, t in rows if 0 < i < 200}
+    )

@@ -174,6 +174,8 @@ def _verify() -> Work:
             "near": [x >= NEAR for x in common],
             "added": added,
             "missing": missing,
+            "length": [len(a) for a, _ in pairs],
+            "centre_length": [len(b) for _, b in pairs],
         }
 
     return work
@@ -212,29 +214,33 @@ def _checked(pairs: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
     joined = pairs.join(member.hint("merge"), "member").join(centre.hint("merge"), "centre")
     shape = {
         "member": "binary", "centre": "binary", "linked": "boolean", "near": "boolean",
-        "added": "array<long>", "missing": "array<long>",
+        "added": "array<long>", "missing": "array<long>", "length": "long", "centre_length": "long",
     }
     return scratch.write(map_slices(joined, _verify, shape))
 
 
 def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
-    """group, content, own, lacks and size, for groups with a text that doesn't match.
+    """group, content, length, own, lacks and size, for groups with a text that doesn't match.
 
     What a group has in common are the k-mers of its centre, without those that
     most members lack, and with those that most members add. ``own`` are the k-mers
     a text adds to that, ``lacks`` those that it is without, ``size`` weighs both. The
-    centre itself is among the texts.
+    centre itself is among the texts. ``length`` is the number of a text's k-mers.
     """
     # Written first: a join whose sides are both shuffled for it can split a hot centre. The
     # group's size goes along with its rows, so that only k-mers of its majority meet by centre.
     open_ = scratch.write(
         checked.filter("near")
         .groupBy("centre")
-        .agg(F.count("*").alias("members"), F.bool_and("linked").alias("done"))
+        .agg(
+            F.count("*").alias("members"),
+            F.bool_and("linked").alias("done"),
+            F.max("centre_length").alias("of_centre"),
+        )
         .filter("NOT done")
         .drop("done")
     )
-    rows = checked.filter("near").join(open_.hint("merge"), "centre")
+    rows = checked.filter("near").join(open_.drop("of_centre").hint("merge"), "centre")
     kinds = F.explode(
         F.concat(
             F.transform("added", lambda x: F.struct(x.alias("kmer"), F.lit(True).alias("new"))),
@@ -256,12 +262,13 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
     common = scratch.write(
         open_.join(most, "centre", "left").select(
             "centre",
+            "of_centre",
             F.coalesce("gained", none).alias("gained"),
             F.coalesce("lost", none).alias("lost"),
         )
     )
     centres = common.select(
-        F.col("centre").alias("group"), F.col("centre").alias("content"),
+        F.col("centre").alias("group"), F.col("centre").alias("content"), F.col("of_centre").alias("length"),
         F.col("lost").alias("own"), F.col("gained").alias("lacks"),
     )
     # A text has what it adds to the centre and the group doesn't, and what it
@@ -269,7 +276,7 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
     own = F.concat(F.array_except("added", "gained"), F.array_except("lost", "missing"))
     lacks = F.concat(F.array_except("missing", "lost"), F.array_except("gained", "added"))
     members = rows.join(common.hint("merge"), "centre").select(
-        F.col("centre").alias("group"), F.col("member").alias("content"), own.alias("own"), lacks.alias("lacks")
+        F.col("centre").alias("group"), F.col("member").alias("content"), "length", own.alias("own"), lacks.alias("lacks")
     )
     # Two texts without a common difference are similar if what they lack, and SIMILARITY of
     # what they add, is together at most 1 - SIMILARITY of what the group has in common.
@@ -290,8 +297,9 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     2. Two similar texts either share a difference from what is common, a k-mer that both
        add or both lack, or both are similar to that text, as it differs no more than either
        (see ``size``). So where one of them isn't, all texts that share a difference are
-       compared, if they are at most TOGETHER. Differences that more texts share count in
-       pairs: texts that agree in two of the LEAST smallest hashes of their differences form
+       compared, if they are at most TOGETHER. Only a text's rarest differences count, so
+       many that a similar text must have one of them (see ``_telling``). Differences that
+       more texts share count in pairs: texts that agree in two of the LEAST smallest hashes of their differences form
        groups, and large ones of these are handled like the first, until none is left.
     """
     sketched = scratch.write(
@@ -311,6 +319,8 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
             return links
         first = _checked(pairs, kmers, scratch)
         own = scratch.write(_against_the_group(first, scratch))
+        if own.isEmpty():
+            return links.union(first.filter("linked").select("member", "centre"))
         nearest = own.groupBy("group").agg(F.min(F.struct("size", "content")).alias("least"))
         seconds = scratch.write(
             own.select("group", "content").join(
@@ -323,16 +333,18 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
         for checked in (first, second):
             links = links.union(checked.filter("linked").select("member", "centre"))
         told = scratch.write(_differences(own, seconds, first.unionByName(second)))
-        single = told.select("group", "content", F.explode("keys").alias("key"), F.col("linked").alias("matched"))
-        sizes = _open_keys(single, scratch)
-        rare = single.join(sizes.filter(F.col("n") <= TOGETHER), "key")
+        single = told.select(
+            "group", "content", "most", F.size("keys").alias("all"), F.explode("keys").alias("key"), F.col("linked").alias("matched")
+        )
+        telling = scratch.write(_telling(single))
+        rare = telling.filter(F.col("n") <= TOGETHER).select("key", "content", "matched")
         # Only texts with a difference that many share need to meet by pairs as well.
-        often = single.join(sizes.filter(F.col("n") > TOGETHER).select("key").hint("merge"), "key")
+        often = telling.filter(F.col("n") > TOGETHER)
         pair = _pair_keys(told, often.select("group", "content").distinct())
         parts = scratch.write(pair)
         found = parts.join(_open_keys(parts, scratch), "key")
         close = found.filter(F.col("n") <= TOGETHER).select("key", "content", F.lit(False).alias("matched"))
-        links = links.union(_small_groups(rare.select("key", "content", "matched").union(close), kmers, scratch))
+        links = links.union(_small_groups(rare.union(close), kmers, scratch))
         pairs = scratch.write(_centred(found.filter(F.col("n") > TOGETHER).select("key", "content"), scratch))
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
@@ -348,12 +360,12 @@ def _compared_once(members: DataFrame) -> DataFrame:
     sets = members.groupBy("key").agg(texts.alias("texts"))
     once = sets.groupBy("texts").agg(F.min("key").alias("key"))
     place = F.struct(F.size("texts").alias("n"), "key").alias("place")
+    others = F.expr("filter(slice(texts, i + 2, size(texts)), y -> NOT (x.matched AND y.matched))")
     pair = once.select(place, F.posexplode("texts").alias("i", "x"), "texts").select(
-        "place", "x", F.explode(F.expr("slice(texts, i + 2, size(texts))")).alias("y")
+        "place", "x", F.explode(others).alias("y")
     )
     left = (
-        pair.filter("NOT (x.matched AND y.matched)")
-        .groupBy(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
+        pair.groupBy(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
         .agg(F.max("place").alias("place"))
     )
     return left.select("place.key", F.explode(F.array("a", "b")).alias("content")).distinct()
@@ -381,6 +393,28 @@ def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> Dat
     return scratch.write(map_slices(groups, setup, {"a": "binary", "b": "binary"}))
 
 
+def _telling(single: DataFrame) -> DataFrame:
+    """group, content, key, n (texts) and matched of the differences by which similar texts meet.
+
+    k-mers that only one of two texts has are differences of one of them alone. Similar ones
+    have at most (1 - SIMILARITY) / SIMILARITY of the k-mers of either: ``most``. So they share
+    one of the rarest ``most + 1`` of each (``all`` are a text's differences), in one order for
+    all texts: by n, then by key. Those that no other text has come first.
+    """
+    sizes = single.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n")).filter("n > 1")
+    shared = F.array_sort(F.collect_list(F.struct("n", "key", "done")))
+    return (
+        single.join(sizes, "key")
+        .groupBy("group", "content", "most", "all", "matched")
+        .agg(shared.alias("shared"))
+        # Of the rarest ones, as many as the text has alone are taken already.
+        .withColumn("left", F.greatest(F.lit(0), F.col("most") + 1 - (F.col("all") - F.size("shared"))))
+        .select("group", "content", "matched", F.explode(F.expr("slice(shared, 1, int(left))")).alias("x"))
+        .filter("NOT x.done")
+        .select("group", "content", "x.key", "x.n", "matched")
+    )
+
+
 def _open_keys(parts: DataFrame, scratch: Scratch) -> DataFrame:
     """key and n (texts) of the groups that have several texts, not all of them matched."""
     groups = parts.groupBy("key").agg(F.bool_and("matched").alias("done"), F.count("*").alias("n"))
@@ -389,7 +423,8 @@ def _open_keys(parts: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _differences(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
     """group, content and keys of its differences from what the group has in common; ``linked``
-    tells whether it is similar to the text that differs least, ``also`` to that or the centre."""
+    tells whether it is similar to the text that differs least, ``also`` to that or the centre.
+    A similar text lacks at most ``most`` of the differences."""
     similar_to = checked.filter("linked").select(F.col("member").alias("content"), F.col("centre").alias("other"))
     similar_to = similar_to.distinct().withColumn("yes", F.lit(True))
     nearest = similar_to.select("content", F.col("other").alias("second"), F.col("yes").alias("linked"))
@@ -400,12 +435,14 @@ def _differences(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> Data
         return F.transform(side, lambda kmer: F.xxhash64("group", F.lit(side), kmer))
 
     none = F.lit(False)
+    most = F.floor(F.col("length") * ((1 - SIMILARITY) / SIMILARITY) + 1e-6)
     return (
         own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
         .join(centre.hint("merge"), ["group", "content"], "left")
         .select(
             "group",
             "content",
+            most.alias("most"),
             F.concat(keys("own"), keys("lacks")).alias("keys"),
             F.coalesce("linked", none).alias("linked"),
             (F.coalesce("linked", none) | F.coalesce("also", none) | (F.col("group") == F.col("content"))).alias("also"),
