@@ -312,3 +312,12 @@ def test_unlike_texts_with_a_common_passage_are_not_all_compared(docs, scratch,
     assert {r.content for c in compared for r in c.collect()}.isdisjoint(
         {hashlib.md5(t.encode()).digest() for i, t in rows if 0 < i < 200}
     )
+
+
+def test_pairs_of_matched_texts_are_not_made(spark):
+    rows = [(7, [(bytes([i]), i % 4 > 0) for i in range(32)]), (8, [(bytes([i]), True) for i in range(32)])]
+    once = spark.createDataFrame(rows, "key long, texts array<struct<content: binary, matched: boolean>>")
+    made = [(r.place.key, bytes(r.x.content), bytes(r.y.content)) for r in N._pairs_apart(once).collect()]
+    assert sorted(made) == [
+        (7, bytes([a]), bytes([b])) for a, b in combinations(range(32), 2) if a % 4 == 0 or b % 4 == 0
+    ]

@@ -349,6 +349,14 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
 
+def _pairs_apart(once: DataFrame) -> DataFrame:
+    """place, x and y: the pairs of each row's texts, without those whose texts are both matched."""
+    place = F.struct(F.size("texts").alias("n"), "key").alias("place")
+    others = F.expr("filter(slice(texts, i + 2, size(texts)), y -> NOT (x.matched AND y.matched))")
+    single = once.select(place, F.posexplode("texts").alias("i", "x"), "texts")
+    return single.select("place", "x", F.explode(others).alias("y"))
+
+
 def _compared_once(members: DataFrame) -> DataFrame:
     """key and content: groups of ``members`` (key, content, matched) such that each pair of
     texts that stand together in some group does so in one of these, unless both are matched.
@@ -359,13 +367,9 @@ def _compared_once(members: DataFrame) -> DataFrame:
     texts = F.array_sort(F.collect_list(F.struct("content", "matched")))
     sets = members.groupBy("key").agg(texts.alias("texts"))
     once = sets.groupBy("texts").agg(F.min("key").alias("key"))
-    place = F.struct(F.size("texts").alias("n"), "key").alias("place")
-    others = F.expr("filter(slice(texts, i + 2, size(texts)), y -> NOT (x.matched AND y.matched))")
-    pair = once.select(place, F.posexplode("texts").alias("i", "x"), "texts").select(
-        "place", "x", F.explode(others).alias("y")
-    )
     left = (
-        pair.groupBy(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
+        _pairs_apart(once)
+        .groupBy(F.col("x.content").alias("a"), F.col("y.content").alias("b"))
         .agg(F.max("place").alias("place"))
     )
     return left.select("place.key", F.explode(F.array("a", "b")).alias("content")).distinct()
