@@ -321,3 +321,35 @@ def test_pairs_of_matched_texts_are_not_made(spark):
     assert sorted(made) == [
         (7, bytes([a]), bytes([b])) for a, b in combinations(range(32), 2) if a % 4 == 0 or b % 4 == 0
     ]
+
+
+def test_small_groups_of_all_rounds_are_compared_at_once(docs, scratch, monkeypatch):
+    monkeypatch.setattr(N, "TOGETHER", 2)
+    rounds, compared = [], []
+    telling, once = N._telling, N._compared_once
+    monkeypatch.setattr(N, "_telling", lambda x: rounds.append(x) or telling(x))
+    monkeypatch.setattr(N, "_compared_once", lambda x: compared.append(x) or once(x))
+    rows = corpus(random.Random(4))
+    found, _ = classes(docs(rows), scratch)
+    assert found == brute(rows)
+    assert len(rounds) > 1 and len(compared) == 1
+
+
+def test_texts_that_their_centre_links_are_not_compared_again(docs, scratch, monkeypatch):
+    checks = []
+    plain = N._checked
+    monkeypatch.setattr(N, "_checked", lambda *given: checks.append(plain(*given)) or checks[-1])
+    rng = random.Random(12)
+    rows = [row for i in range(30) for row in hidden_family(rng, 100 * i)]
+    found, _ = classes(docs(rows), scratch)
+    assert found == {i: c for k in range(30) for i, c in brute(rows[12 * k : 12 * k + 12]).items()}
+    first, second = ([(bytes(r.member), bytes(r.centre), r.linked) for r in x.collect()] for x in checks[:2])
+    by_centre = {}
+    for member, centre, linked in first:
+        if linked:
+            by_centre.setdefault(centre, {centre}).add(member)
+    again = {frozenset(x[:2]) for x in second}
+    assert again
+    for centre, texts in by_centre.items():
+        # Pairs of a centre itself with other texts may stand in groups of other centres.
+        assert not any(x <= texts - {centre} for x in again)

@@ -17,8 +17,9 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     then that component's own one, until nothing changes. A node with very many
     links is combined before the shuffle; each round is written to a table.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).distinct()
-    both = scratch.write(both)
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    # Both ways of a link in one pass, as links may be costly to read.
+    both = scratch.write(links.select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct())
     state = scratch.write(both.groupBy("a").agg(F.min("b").alias("least")).select(
         F.col("a").alias("node"), F.least("a", "least").alias("component")
     ))

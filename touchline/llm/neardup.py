@@ -181,16 +181,20 @@ def _verify() -> Work:
     return work
 
 
-def _centred(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """member and centre, of the groups (key) of ``members`` (key, content).
+def _sized(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """key, content and n (texts of the key) of ``members`` (key, content), where n > 1."""
+    # Written first: a join whose sides are both shuffled for it can split a hot key.
+    sizes = scratch.write(members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    return scratch.write(members.join(sizes, "key"))
+
+
+def _centred(grouped: DataFrame, scratch: Scratch) -> DataFrame:
+    """member and centre, of the groups (key) of ``grouped`` (key, content, n texts of the key).
 
     The centre is the member that meets most others over all groups: an original
     meets its variants more often than they meet each other. Every member is
     paired with it alone, so pairs grow with members, not with their square.
     """
-    # Written first: a join whose sides are both shuffled for it can split a hot key.
-    sizes = scratch.write(members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    grouped = scratch.write(members.join(sizes, "key"))
     degree = grouped.groupBy("content").agg(F.sum("n").alias("degree"))
     centres = scratch.write(
         grouped.join(degree, "content")
@@ -210,8 +214,9 @@ def _checked(pairs: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs with linked and near (how similar they are) and what a member adds and lacks."""
     member = kmers.select(F.col("content").alias("member"), F.col("kmers").alias("member_kmers"))
     centre = kmers.select(F.col("content").alias("centre"), F.col("kmers").alias("centre_kmers"))
-    # Sorted and merged at any size: both sides grow with the corpus.
-    joined = pairs.join(member.hint("merge"), "member").join(centre.hint("merge"), "centre")
+    # Sorted and merged at any size: both sides grow with the corpus. By centre first, while rows
+    # are short: a hot one's k-mers then go out by member, so that texts are dealt evenly.
+    joined = pairs.join(centre.hint("merge"), "centre").join(member.hint("merge"), "member")
     shape = {
         "member": "binary", "centre": "binary", "linked": "boolean", "near": "boolean",
         "added": "array<long>", "missing": "array<long>", "length": "long", "centre_length": "long",
@@ -220,12 +225,13 @@ def _checked(pairs: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
-    """group, content, length, own, lacks and size, for groups with a text that doesn't match.
+    """group, content, length, own, lacks, size and also, for groups with a text that doesn't match.
 
     What a group has in common are the k-mers of its centre, without those that
     most members lack, and with those that most members add. ``own`` are the k-mers
     a text adds to that, ``lacks`` those that it is without, ``size`` weighs both. The
-    centre itself is among the texts. ``length`` is the number of a text's k-mers.
+    centre itself is among the texts. ``length`` is the number of a text's k-mers, ``also`` tells
+    whether it is similar to the centre.
     """
     # Written first: a join whose sides are both shuffled for it can split a hot centre. The
     # group's size goes along with its rows, so that only k-mers of its majority meet by centre.
@@ -269,15 +275,16 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
     )
     centres = common.select(
         F.col("centre").alias("group"), F.col("centre").alias("content"), F.col("of_centre").alias("length"),
-        F.col("lost").alias("own"), F.col("gained").alias("lacks"),
+        F.col("lost").alias("own"), F.col("gained").alias("lacks"), F.lit(True).alias("also"),
     )
     # A text has what it adds to the centre and the group doesn't, and what it
     # shares with the centre though the group has lost it.
     own = F.concat(F.array_except("added", "gained"), F.array_except("lost", "missing"))
     lacks = F.concat(F.array_except("missing", "lost"), F.array_except("gained", "added"))
     members = rows.join(common.hint("merge"), "centre").select(
-        F.col("centre").alias("group"), F.col("member").alias("content"), "length", own.alias("own"), lacks.alias("lacks")
-    )
+        F.col("centre").alias("group"), F.col("member").alias("content"), "length",
+        own.alias("own"), lacks.alias("lacks"), F.col("linked").alias("also"),
+    )
     # Two texts without a common difference are similar if what they lack, and SIMILARITY of
     # what they add, is together at most 1 - SIMILARITY of what the group has in common.
     weight = F.size("lacks") + SIMILARITY * F.size("own")
@@ -285,7 +292,8 @@ def _against_the_group(checked: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between different texts that are similar, enough to connect them all.
+    """Links (a, b) between different texts that are similar, enough to connect them all. Read
+    them once: those of small groups are found as they are read.
 
     ``texts`` has content (digest of the text) and text. Groups are texts that
     agree in a band; every text is compared with its group's centre. Some may be
@@ -308,33 +316,38 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
     members = sketched.select("content", F.posexplode("bands").alias("slot", "value")).select(
         F.xxhash64("slot", "value").alias("key"), "content"
     )
-    pairs = scratch.write(_centred(members, scratch))
+    pairs = scratch.write(_centred(_sized(members, scratch), scratch))
     involved = pairs.select(F.explode(F.array("member", "centre")).alias("content")).distinct()
     # Copies of a text are one here; each task brings a text once.
     wanted = texts.join(involved.hint("merge"), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
     kmers = scratch.write(map_slices(wanted, _kmers, {"content": "binary", "kmers": "array<long>"}))
     links = texts.select(F.col("content").alias("a"), F.col("content").alias("b")).limit(0)
-    for _ in range(MOST_ROUNDS):
-        if pairs.isEmpty():
-            return links
+    small = None
+    if pairs.isEmpty():
+        return links
+    for number in range(MOST_ROUNDS):
         first = _checked(pairs, kmers, scratch)
         own = scratch.write(_against_the_group(first, scratch))
         if own.isEmpty():
-            return links.union(first.filter("linked").select("member", "centre"))
-        nearest = own.groupBy("group").agg(F.min(F.struct("size", "content")).alias("least"))
+            links = links.union(first.filter("linked").select("member", "centre"))
+            return links if small is None else links.union(_small_groups(small, kmers))
+        nearest = own.groupBy("group").agg(F.min(F.struct("size", "content", "also")).alias("least"))
+        nearest = nearest.select("group", F.col("least.content").alias("second"), F.col("least.also").alias("joined"))
+        # ``joined``: is linked to the second by way of the centre, or not at all; needs no comparing.
         seconds = scratch.write(
-            own.select("group", "content").join(
-                nearest.select("group", F.col("least.content").alias("second")).hint("merge"), "group"
-            )
+            own.select("group", "content", "also")
+            .join(nearest.hint("merge"), "group")
+            .filter("content <> second")
+            .select("group", "content", "second", (F.col("also") & F.col("joined")).alias("joined"))
         )
-        again = seconds.filter("content <> second AND second <> `group`")
+        again = seconds.filter("NOT joined AND second <> `group`")
         again = again.select(F.col("content").alias("member"), F.col("second").alias("centre"))
         second = _checked(again.distinct(), kmers, scratch)
         for checked in (first, second):
             links = links.union(checked.filter("linked").select("member", "centre"))
-        told = scratch.write(_differences(own, seconds, first.unionByName(second)))
+        told = scratch.write(_differences(own, seconds, second))
         single = told.select(
-            "group", "content", "most", F.size("keys").alias("all"), F.explode("keys").alias("key"), F.col("linked").alias("matched")
+            "group", "content", "most", F.size("keys").alias("all"), F.explode("keys").alias("key"), "matched"
         )
         telling = scratch.write(_telling(single))
         rare = telling.filter(F.col("n") <= TOGETHER).select("key", "content", "matched")
@@ -342,10 +355,16 @@ def near_links(texts: DataFrame, scratch: Scratch) -> DataFrame:
         often = telling.filter(F.col("n") > TOGETHER)
         pair = _pair_keys(told, often.select("group", "content").distinct())
         parts = scratch.write(pair)
-        found = parts.join(_open_keys(parts, scratch), "key")
-        close = found.filter(F.col("n") <= TOGETHER).select("key", "content", F.lit(False).alias("matched"))
-        links = links.union(_small_groups(rare.union(close), kmers, scratch))
-        pairs = scratch.write(_centred(found.filter(F.col("n") > TOGETHER).select("key", "content"), scratch))
+        found = scratch.write(parts.join(_open_keys(parts, scratch), "key"))
+        close = found.filter(F.col("n") <= TOGETHER).select("key", "content", "matched")
+        # A group of one round may come again in another one, with other texts.
+        groups = rare.union(close).withColumn("key", F.xxhash64(F.lit(number), "key"))
+        small = groups if small is None else small.union(groups)
+        large = found.filter(F.col("n") > TOGETHER).select("key", "content", "n")
+        if large.isEmpty():
+            # Those of all rounds at once: many are parts of others.
+            return links.union(_small_groups(small, kmers))
+        pairs = _centred(large, scratch)
     raise RuntimeError(f"groups still have unmatched texts after {MOST_ROUNDS} rounds")
 
 
@@ -375,11 +394,10 @@ def _compared_once(members: DataFrame) -> DataFrame:
     return left.select("place.key", F.explode(F.array("a", "b")).alias("content")).distinct()
 
 
-def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> DataFrame:
+def _small_groups(members: DataFrame, kmers: DataFrame) -> DataFrame:
     """Links (a, b) among the texts of groups of up to TOGETHER texts. ``members`` has key,
     content and matched: texts of a group that are matched are linked to one text already."""
-    # Written first: k-mers go along with each row.
-    joined = scratch.write(_compared_once(members)).join(kmers, "content")
+    joined = _compared_once(members).join(kmers, "content")
     groups = joined.groupBy("key").agg(F.collect_list(F.struct("content", "kmers")).alias("texts"))
 
     def setup() -> Work:
@@ -394,7 +412,7 @@ def _small_groups(members: DataFrame, kmers: DataFrame, scratch: Scratch) -> Dat
 
         return work
 
-    return scratch.write(map_slices(groups, setup, {"a": "binary", "b": "binary"}))
+    return map_slices(groups, setup, {"a": "binary", "b": "binary"})
 
 
 def _telling(single: DataFrame) -> DataFrame:
@@ -425,32 +443,22 @@ def _open_keys(parts: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(groups.filter("NOT done AND n > 1").select("key", "n"))
 
 
-def _differences(own: DataFrame, seconds: DataFrame, checked: DataFrame) -> DataFrame:
-    """group, content and keys of its differences from what the group has in common; ``linked``
-    tells whether it is similar to the text that differs least, ``also`` to that or the centre.
+def _differences(own: DataFrame, seconds: DataFrame, second: DataFrame) -> DataFrame:
+    """group, content and keys of its differences from what the group has in common; ``matched``
+    tells whether links connect it to the text that differs least, directly or by the centre.
     A similar text lacks at most ``most`` of the differences."""
-    similar_to = checked.filter("linked").select(F.col("member").alias("content"), F.col("centre").alias("other"))
-    similar_to = similar_to.distinct().withColumn("yes", F.lit(True))
-    nearest = similar_to.select("content", F.col("other").alias("second"), F.col("yes").alias("linked"))
-    centre = similar_to.select("content", F.col("other").alias("group"), F.col("yes").alias("also"))
-    tried = seconds.filter("content <> second").join(nearest.hint("merge"), ["content", "second"], "left")
+    linked = second.filter("linked").select(
+        F.col("member").alias("content"), F.col("centre").alias("second"), F.lit(True).alias("linked")
+    )
+    tried = seconds.join(linked.hint("merge"), ["content", "second"], "left")
+    matched = F.col("joined") | F.coalesce("linked", F.lit(False))
 
     def keys(side: str) -> Column:
         return F.transform(side, lambda kmer: F.xxhash64("group", F.lit(side), kmer))
 
-    none = F.lit(False)
     most = F.floor(F.col("length") * ((1 - SIMILARITY) / SIMILARITY) + 1e-6)
-    return (
-        own.join(tried.select("group", "content", "linked").hint("merge"), ["group", "content"])
-        .join(centre.hint("merge"), ["group", "content"], "left")
-        .select(
-            "group",
-            "content",
-            most.alias("most"),
-            F.concat(keys("own"), keys("lacks")).alias("keys"),
-            F.coalesce("linked", none).alias("linked"),
-            (F.coalesce("linked", none) | F.coalesce("also", none) | (F.col("group") == F.col("content"))).alias("also"),
-        )
+    return own.join(tried.select("group", "content", matched.alias("matched")).hint("merge"), ["group", "content"]).select(
+        "group", "content", most.alias("most"), F.concat(keys("own"), keys("lacks")).alias("keys"), "matched"
     )
 
 
@@ -461,7 +469,7 @@ def _pair_keys(told: DataFrame, wanted: DataFrame) -> DataFrame:
         return F.array_min(F.transform("keys", lambda x: F.xxhash64(F.lit(seed), x)))
 
     least = told.join(wanted.hint("merge"), ["group", "content"]).select(
-        "group", "content", F.col("also").alias("matched"), F.array(*map(hashed, range(LEAST))).alias("least")
+        "group", "content", "matched", F.array(*map(hashed, range(LEAST))).alias("least")
     )
     keys = [
         F.xxhash64("group", F.lit(i), F.lit(j), F.col("least")[i], F.col("least")[j])
